@@ -74,6 +74,7 @@ class _NodeBuffer(HTMLParser):
         self.base = len(self.tag)
         self.stack: list[int] = []
         self.open_tags: Counter[str] = Counter()
+        self.pending: list[str] = []
         self._open(DOCUMENT, [])
         error = None
         try:
@@ -82,6 +83,7 @@ class _NodeBuffer(HTMLParser):
             self.close()
         except (AssertionError, ValueError) as e:  # markup the tokenizer gives up on
             error = f"{type(e).__name__}: {e}"
+        self._end_text()
         end = len(self.tag) - self.base - 1
         for i in self.stack:
             self.last[self.base + i] = end
@@ -113,9 +115,11 @@ class _NodeBuffer(HTMLParser):
             self.open_tags[tag] += 1
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self._end_text()
         self._open(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
+        self._end_text()
         if not self.open_tags[tag]:
             return
         end = len(self.tag) - self.base - 1
@@ -126,8 +130,19 @@ class _NodeBuffer(HTMLParser):
             self.last[self.base + i] = end
             self.open_tags[closed] -= 1
 
+    def handle_comment(self, data: str) -> None:
+        self._end_text()
+
+    handle_decl = handle_pi = unknown_decl = handle_comment
+
     def handle_data(self, data: str) -> None:
-        piece = data.strip()
+        self.pending.append(data)  # one text may come in several pieces
+
+    def _end_text(self) -> None:
+        if not self.pending:
+            return
+        piece = "".join(self.pending).strip()
+        self.pending = []
         if piece:
             raw = self.tag[self.base + self.stack[-1]] in RAW_TAGS
             self._add(RAW_TEXT if raw else TEXT, piece)
