@@ -14,7 +14,7 @@ def as_col(c: Column | str) -> Column:
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it several times in ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
 
 
 def falsy_to_null(c: Column | str) -> Column:

@@ -70,7 +70,8 @@ DEFAULT_STORE = "Tottus"
 
 # JSON-like text. A product is looked for in this many characters from its name on.
 WINDOW_CHARS = 2000
-NAME_WITH_WINDOW = rf'(?s)(?=(.{{0,{WINDOW_CHARS}}}))"displayName"(?U:\s*):(?U:\s*)"[^"]+"'
+# (the word is looked at first, so that windows are read at names only)
+NAME_WITH_WINDOW = rf'(?s)(?="displayName")(?=(.{{0,{WINDOW_CHARS}}}))"displayName"(?U:\s*):(?U:\s*)"[^"]+"'
 NAME = r'(?U)"displayName"\s*:\s*"([^"]+)"'
 BRAND = r'(?U)"brand"\s*:\s*"([^"]+)"'
 LINK = r'(?U)"url"\s*:\s*"([^"]+)"'
