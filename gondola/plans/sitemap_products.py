@@ -37,10 +37,10 @@ def discover(
     """Index ``(host, body)`` and sitemaps ``(sitemap_url, body)`` to URLs."""
     listed = index_locations(index, limit=max_sitemaps).join(sitemaps, "sitemap_url")
     found = sitemap_locations(listed, ["host", "sitemap_no"])
-    # place of an entry: sitemap first, then line
-    place = F.shiftleft(F.col("sitemap_no").cast("long"), 32) + F.col("loc_no")
-    products, collections = split_products(found.select("host", place.alias("ord"), "url"))
-    return Discovered(distinct_urls(products, ["host", "ord"], max_urls), collections)
+    # place of an entry; structs compare field by field
+    place = F.struct("host", "sitemap_no", "loc_no")
+    products, collections = split_products(found.select(place.alias("ord"), "url"))
+    return Discovered(distinct_urls(products, ["ord"], max_urls), collections)
 
 
 def visit(urls: DataFrame, corpus: DataFrame, policies: DataFrame | None, few: bool = True) -> DataFrame:
@@ -67,7 +67,7 @@ def audit(visited: DataFrame, target: int | None = None, as_of: Column | None =
         return products, discards
     products = first_rows(products, ["ord"], target)
     stop = products.agg(F.when(F.count(F.lit(1)) == target, F.max("ord")).alias("ord"))
-    return products, discards.filter(F.col("ord") < F.coalesce(stop.scalar(), F.lit(2**62)))
+    return products, discards.filter(stop.scalar().isNull() | (F.col("ord") < stop.scalar()))
 
 
 def category_products(

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from gondola.functions.columns import falsy_to_null
 from gondola.operators.dedup import keep_first
 
-INDEX_SHAPE = "sitemap array<struct<loc string>>"
+CORRUPT = "_corrupt_record"
+INDEX_SHAPE = f"sitemap array<struct<loc string>>, {CORRUPT} string"
 SITEMAP_SHAPE = "url array<struct<loc string>>"
 
 # Where to look when there is no usable index.
@@ -16,7 +17,7 @@ DEFAULT_SITEMAPS = ["/sitemap.xml", "/arquivos/colecciones-wong-sitemap.xml"]
 
 
 def _locations(body: Column, shape: str, field: str) -> Column:
-    # from_xml gives null for malformed text
+    # malformed text gives no fields
     locs = F.transform(F.from_xml(body, shape)[field], lambda e: falsy_to_null(F.trim(e["loc"])))
     return F.filter(locs, lambda loc: loc.isNotNull())
 
@@ -28,7 +29,8 @@ def index_locations(index: DataFrame, host: str = "host", body: str = "body", li
     """
     found = _locations(F.col(body), INDEX_SHAPE, "sitemap")
     defaults = F.transform(F.array(*map(F.lit, DEFAULT_SITEMAPS)), lambda p: F.concat(F.lit("https://"), F.col(host), p))
-    usable = F.contains(F.col(body), F.lit("<sitemapindex")) & F.from_xml(body, INDEX_SHAPE).isNotNull()
+    parsed = F.from_xml(body, INDEX_SHAPE, {"columnNameOfCorruptRecord": CORRUPT})
+    usable = F.contains(F.col(body), F.lit("<sitemapindex")) & parsed.isNotNull() & parsed[CORRUPT].isNull()
     locs = F.when(usable, F.coalesce(found, F.array().cast("array<string>"))).otherwise(defaults)
     if limit is not None:
         locs = F.slice(locs, 1, limit)

@@ -235,6 +235,7 @@ def sitemap_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     k = F.col("k")
     loc = (
         F.when(k % 5 == 4, fmt("<url><loc>~/col-~</loc></url>", F.lit(SHOP), "k"))
+        .when(k % 25 == 12, fmt("<url><loc>~/10000~/pan</loc></url>", F.lit(SHOP), "k"))
         .when(k % 10 == 0, fmt("<url><loc>\n ~/prod-~/p </loc></url><url><loc> </loc></url><url><loc>~/prod-~/p</loc></url>", F.lit(SHOP), "k", F.lit(SHOP), "k"))
         .otherwise(fmt("<url><loc>~/prod-~/p</loc></url>", F.lit(SHOP), "k"))
     )
