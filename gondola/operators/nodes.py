@@ -29,8 +29,8 @@ TEXT = "#text"
 RAW_TEXT = "#raw"  # text of script and style: not part of the page text
 
 # Elements without an end tag, and elements with raw text.
-VOID_TAGS = "area base br col embed hr img input link meta param source track wbr".split()
-RAW_TAGS = ["script", "style"]
+VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+RAW_TAGS = frozenset(["script", "style"])
 
 # output batches are cut at this many nodes, to bound the memory of a Python worker
 NODES_PER_BATCH = 100_000
@@ -101,13 +101,14 @@ class _NodeBuffer(HTMLParser):
 
     def _open(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         at = self._add(tag, None)
-        values = {k: v or "" for k, v in attrs}
-        if "class" in values:
-            names = values["class"].split()
-            self.classes.extend(names)
-            values["class"] = " ".join(names)
-        self.attr_keys.extend(values)
-        self.attr_values.extend(values.values())
+        if attrs:
+            values = {k: v or "" for k, v in attrs}
+            if "class" in values:
+                names = values["class"].split()
+                self.classes.extend(names)
+                values["class"] = " ".join(names)
+            self.attr_keys.extend(values)
+            self.attr_values.extend(values.values())
         self.class_starts.append(len(self.classes))
         self.attr_starts.append(len(self.attr_keys))
         if tag not in VOID_TAGS:
@@ -130,6 +131,9 @@ class _NodeBuffer(HTMLParser):
             self.last[self.base + i] = end
             self.open_tags[closed] -= 1
 
+    def updatepos(self, i: int, j: int) -> int:
+        return j  # line numbers are not needed
+
     def handle_comment(self, data: str) -> None:
         self._end_text()
 

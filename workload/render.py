@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gondola.sources.pages import spread
+
 SHOP = "https://shop.example.com"
 PER_PAGE = 10
 PAGES_PER_CATEGORY = 5
@@ -29,7 +31,8 @@ def fmt(pattern: str, *columns: str | Column) -> Column:
 
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
-    part = read(spark, sf_dir, "part")
+    # rendering makes much of little, so even a small table is spread over the cores
+    part = spread(read(spark, sf_dir, "part"))
     return part.select(
         k.alias("k"),
         fmt("~~ ~ kg", "p_name", F.when(k % 9 == 0, " & cia").otherwise(""), "p_size").alias("name"),
