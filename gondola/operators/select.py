@@ -57,9 +57,13 @@ def node(i: Column) -> Column:
     return F.get(F.col(NODES), i)
 
 
+def _attr(n: Column, name: str) -> Column:
+    return F.try_element_at(n["attrs"], F.lit(name))
+
+
 def attr(i: Column, name: str) -> Column:
     """Attribute of the node at ``i``, null where it is absent."""
-    return F.try_element_at(node(i)["attrs"], F.lit(name))
+    return _attr(node(i), name)
 
 
 _TESTS = {
@@ -72,23 +76,22 @@ _TESTS = {
 
 def _matches_one(i: Column, s: Sel) -> Column:
     # ordered from cheap to dear; & stops at the first false
-    tests = []
-    if s.tag:
-        tests.append(node(i)["tag"] == s.tag)
-    tests += [F.array_contains(node(i)["classes"], c) for c in s.classes]
-    tests += [_TESTS[op](attr(i, name), value) for name, op, value in s.attrs]
+    n = node(i)
+    tests = [n["tag"] == s.tag] if s.tag else []
+    tests += [F.array_contains(n["classes"], c) for c in s.classes]
+    tests += [_TESTS[op](_attr(n, name), value) for name, op, value in s.attrs]
     if s.within:
         tests.append(has_ancestor(i, s.within))
     if not tests:
-        tests.append(~F.startswith(node(i)["tag"], F.lit("#")))
+        tests.append(~F.startswith(n["tag"], F.lit("#")))
     result = tests[0]
     for t in tests[1:]:
         result = result & t
-    return F.coalesce(result, F.lit(False))
+    return result
 
 
 def matches(i: Column, group: Group) -> Column:
-    """Does the node at ``i`` match any selector of the group?"""
+    """Does the node at ``i`` match any selector of the group? Null counts as no."""
     result = None
     for s in as_group(group):
         one = _matches_one(i, s)
@@ -98,12 +101,13 @@ def matches(i: Column, group: Group) -> Column:
 
 def has_ancestor(i: Column, group: Group) -> Column:
     """Climb from ``i`` to the root. Ancestors outside the scope count, as in CSS."""
-    start = F.struct(node(i)["parent"].alias("at"), F.lit(False).alias("hit"))
+    n = node(i)
+    start = F.struct(n["parent"].alias("at"), F.lit(False).alias("hit"))
     climbed = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(node(i)["depth"], F.lit(1))),
+        F.sequence(F.lit(1), F.greatest(n["depth"], F.lit(1))),
         start,
         lambda acc, _: F.when(acc["hit"] | acc["at"].isNull(), acc).otherwise(
-            F.struct(node(acc["at"])["parent"].alias("at"), matches(acc["at"], group).alias("hit"))
+            F.struct(node(acc["at"])["parent"].alias("at"), F.coalesce(matches(acc["at"], group), F.lit(False)).alias("hit"))
         ),
     )
     return climbed["hit"]

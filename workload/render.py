@@ -59,6 +59,10 @@ def html_text(c: str) -> Column:
 def pages_of(items: DataFrame, card: Column, head: Column | str, tail: str, between: str = "") -> DataFrame:
     """Ten cards (eleven with a repeated part) to a page; ``head`` may use ``page``."""
     cards = items.select("page", "dup", "k", card.alias("card"))
+    # parsing is what costs: keep as many partitions as the session asks for, however small the cards
+    spark = items.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    cards = cards.repartition(n, "page")
     pages = cards.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("dup", "k", "card"))).alias("cards"))
     body = F.array_join(F.transform("cards", lambda c: c["card"]), between)
     return pages.select(
