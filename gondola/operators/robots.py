@@ -94,7 +94,7 @@ def with_allowed(urls: DataFrame, policies: DataFrame, url: str = "url") -> Data
     path = _unquoted(url_path(as_col(url)))
     keyed = urls.withColumn("_host", url_host(url)).withColumn("_path", path)
     joined = keyed.join(policies.withColumnRenamed("host", "_host"), "_host", "left")
-    # an empty Allow or Disallow is a prefix of every path
-    applies = lambda r: (r["prefix"] == "*") | F.startswith(F.col("_path"), r["prefix"])
+    # an empty Allow or Disallow is a prefix of every path; "*" is no wildcard and matches none
+    applies = lambda r: F.startswith(F.col("_path"), r["prefix"])
     allowed = F.get(F.filter("rules", applies), F.lit(0))["allow"]
     return joined.withColumn("allowed", F.coalesce(allowed, F.lit(True))).select(*urls.columns, "allowed")

@@ -17,7 +17,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with header, UTF-8."""
+    """CSV with header, UTF-8. Blank texts come back as null."""
     df.write.option("header", True).option("escape", '"').csv(path)
 
 
