@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # Spark cuts a ranked group on the map side up to this cap (spark.sql.optimizer.windowGroupLimitThreshold)
 MAP_SIDE_CAP = 1000
-SALTS = 64
+SALTS = 1024
 
 
 def last_pages(counts: DataFrame, category: str, first_page_counts: bool = True) -> DataFrame:

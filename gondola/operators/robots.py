@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gondola.functions.columns import as_col
 from gondola.functions.urls import url_host, url_path
+from gondola.session import materialise
 
 
 def _unquoted(c: Column) -> Column:
@@ -72,6 +73,9 @@ def host_policies(rules: DataFrame, user_agent: str) -> DataFrame:
 
     The first group that names the agent counts, else the first group for ``*``. A group that
     has ``*`` among its agents is a group for ``*`` only.
+
+    The table is written: it serves several joins, and a join that reads it from a table lets
+    Spark broadcast it by its known size or split the URLs of a busy host.
     """
     token = user_agent.split("/")[0].lower()
     names_agent = F.contains(F.lit(token), F.col("agent"))
@@ -83,7 +87,7 @@ def host_policies(rules: DataFrame, user_agent: str) -> DataFrame:
     specific = F.col("for_agent") & ~F.col("for_all")
     rank = F.struct(F.when(specific, 0).otherwise(1), "group_no")
     usable = groups.filter(specific | F.col("for_all"))
-    return usable.groupBy("host").agg(F.min_by("rules", rank).alias("rules"))
+    return materialise(usable.groupBy("host").agg(F.min_by("rules", rank).alias("rules")), "policies")
 
 
 def with_allowed(urls: DataFrame, policies: DataFrame, url: str = "url") -> DataFrame:

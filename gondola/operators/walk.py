@@ -20,20 +20,22 @@ def follow_links(starts: DataFrame, links: DataFrame, max_pages: int = 30) -> Da
     spark = starts.sparkSession
     edges = materialise(links.filter("next_url is not null").select("url", "next_url"), "links")
     first = keep_first(starts.select("url", "start_no"), ["url"], ["start_no"]).orderBy("start_no").limit(max_pages)
-    edges.createOrReplaceTempView("_gondola_edges")
-    materialise(first, "starts").createOrReplaceTempView("_gondola_starts")
     # a chain that comes back to its own URLs ends there
     reached = spark.sql(
-        f"""
-        WITH RECURSIVE chain(url, start_no, hop, trail) AS (
-          SELECT url, start_no, 0, array(url) FROM _gondola_starts
+        """
+        WITH RECURSIVE chain(url, start_no, hop, trail) MAX RECURSION LEVEL {levels} AS (
+          SELECT url, start_no, 0, array(url) FROM {first}
           UNION ALL
           SELECT e.next_url, c.start_no, c.hop + 1, array_append(c.trail, e.next_url)
-          FROM chain c JOIN _gondola_edges e ON e.url = c.url
-          WHERE c.hop + 1 < {int(max_pages)} AND NOT array_contains(c.trail, e.next_url)
+          FROM chain c JOIN {edges} e ON e.url = c.url
+          WHERE c.hop + 1 < {max_pages} AND NOT array_contains(c.trail, e.next_url)
         )
         SELECT url, start_no, hop FROM chain
-        """
+        """,
+        first=materialise(first, "starts"),
+        edges=edges,
+        max_pages=max_pages,
+        levels=max_pages + 1,
     )
     visited = keep_first(reached, ["url"], ["hop", "start_no"]).orderBy("hop", "start_no").limit(max_pages)
     visit_no = F.row_number().over(Window.orderBy("hop", "start_no"))

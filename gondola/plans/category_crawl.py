@@ -10,6 +10,7 @@ from gondola.operators.listings import DEFAULT_STORE, category_pages, summary_li
 from gondola.operators.nodes import page_nodes
 from gondola.operators.paging import first_pages, last_pages, until_stop
 from gondola.operators.records import rows_per_page
+from gondola.operators.stats import price_summary, top_values
 from gondola.session import materialise
 
 PAGE = ["category_id", "page_no", "url"]
@@ -25,7 +26,9 @@ def category_crawl(
     """
     wanted = first_pages(pages.select(*PAGE, "html"), max_pages)
     found = materialise(category_pages(page_nodes(wanted, *PAGE), PAGE), "category-pages")
+    # one short row per category; as a table its size is known to the join
     stop = last_pages(rows_per_page(found, PAGE), "category_id", first_page_counts=False)
+    stop = materialise(stop, "last-pages")
     rows = until_stop(summary_listing(found, PAGE, base, store), stop, "category_id")
     once = dedup_listing(rows, ["category_id", "page_no", "item_no"])
     return once.select("title", "price_text", "price", "url", "brand", "category", "store")
@@ -33,6 +36,4 @@ def category_crawl(
 
 def describe_listing(listing: DataFrame) -> dict[str, DataFrame]:
     """Summaries of a written listing table: price summary and most frequent brands."""
-    from gondola.operators.stats import price_summary, top_values
-
     return {"price_summary": price_summary(listing), "top_brands": top_values(listing.select(F.col("brand")), "brand")}

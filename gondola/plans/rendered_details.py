@@ -9,6 +9,7 @@ from gondola.operators.dedup import dedup_details
 from gondola.operators.details import detail_prices
 from gondola.operators.nodes import page_nodes
 from gondola.operators.paging import sample_urls
+from gondola.session import materialise
 from gondola.sources.sitemaps import index_locations, sitemap_locations
 
 
@@ -27,7 +28,7 @@ def rendered_details(
 ) -> DataFrame:
     """Details of a repeatable sample of ``target`` URLs that were fetched."""
     fetched = urls.join(corpus.select("url"), "url", "left_semi")
-    sample = sample_urls(fetched, target, seed)
-    # the sample is small by its limit; the corpus is filtered by it before parsing
-    pages = corpus.join(sample.select("url"), "url", "left_semi")
+    sample = materialise(sample_urls(fetched, target, seed).select("url"), "sample")
+    # the sample is small by its limit; the corpus is cut down to it before parsing
+    pages = corpus.join(sample, "url", "left_semi")
     return dedup_details(detail_prices(page_nodes(pages, "url"), source, as_of), [])

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gondola.functions.urls import split_products
+from gondola.functions.urls import looks_like_product, split_products
 from gondola.operators.audit import accepted, discarded, named_only, with_reason
 from gondola.operators.cards import card_pages, card_products, cards, join_details
 from gondola.operators.dedup import dedup_products, keep_first
@@ -52,6 +52,8 @@ def visit(urls: DataFrame, corpus: DataFrame, policies: DataFrame | None, few: b
     """
     allowed = urls if policies is None else with_allowed(urls, policies).filter("allowed").drop("allowed")
     if few:
+        # written first, so that its size is known when the join is planned
+        allowed = materialise(allowed, "allowed")
         corpus = corpus.join(allowed.select("url"), "url", "left_semi")
     details = detail_records(detail_nodes(corpus, "url"), ["url"])
     return with_reason(allowed.join(details, "url", "left"))
@@ -87,7 +89,7 @@ def category_products(
     if policies is not None:
         listed = with_allowed(pages, policies).filter("allowed").drop("allowed")
     found = materialise(card_pages(page_nodes(listed, *place), place), "card-pages")
-    stop = last_pages(rows_per_page(found, place), "category")
+    stop = materialise(last_pages(rows_per_page(found, place), "category"), "last-pages")
     rows = until_stop(cards(found, place, base), stop, "category")
     rows = first_per_category(rows, "category", ["page_no", "item_no"], max_products)
     allowed = None
@@ -98,12 +100,15 @@ def category_products(
 
 
 def lookup_details(corpus: DataFrame) -> DataFrame:
-    """Detail pages by URL, for ``category_products``: pages that look like products."""
-    from gondola.functions.urls import looks_like_product
+    """Detail pages by URL, for ``category_products``: pages that look like products.
 
+    The table is written, so that the join with the cards can be split where many cards share
+    one URL.
+    """
     details = detail_records(detail_nodes(corpus, "url"), ["url"])
     usable = looks_like_product("url", F.col("html_is_product")) & ~F.col("bad_price")
-    return keep_first(details.filter(usable).drop("parse_error", "html_is_product", "bad_price"), ["url"], [])
+    once = keep_first(details.filter(usable).drop("parse_error", "html_is_product", "bad_price"), ["url"], [])
+    return materialise(once, "details")
 
 
 def final_products(products: DataFrame, order: list[str]) -> DataFrame:

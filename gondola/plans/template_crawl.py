@@ -10,6 +10,7 @@ from gondola.operators.dedup import drop_exact
 from gondola.operators.nodes import page_nodes
 from gondola.operators.template import Template, extract_template, next_links
 from gondola.operators.walk import follow_links
+from gondola.session import materialise
 
 PRICE_FIELD = "precio"
 
@@ -23,7 +24,7 @@ def finish(rows: DataFrame) -> DataFrame:
 def template_crawl(pages: DataFrame, starts: DataFrame, template: Template, max_pages: int = 30) -> DataFrame:
     """Follow next-page links from ``starts (url, start_no)`` through ``pages (url, html)``."""
     links = next_links(page_nodes(pages, "url"), template.pagination, ["url"])
-    visited = follow_links(starts, links, max_pages).select("url")
+    visited = materialise(follow_links(starts, links, max_pages).select("url"), "visited")
     # at most max_pages URLs: only their pages are parsed again
     reached = pages.join(visited, "url", "left_semi")
     return finish(extract_template(page_nodes(reached, "url"), template, ["url"], "url").drop("url", "item_no"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from gondola.session import materialise
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a result back. A missing file gives no rows."""
@@ -35,10 +37,14 @@ WRITERS = {"csv": write_csv, "json": write_json, "parquet": write_parquet}
 
 
 def write_if_any(df: DataFrame, path: str, form: str = "csv") -> bool:
-    """Write only if there are rows."""
-    if df.isEmpty():
+    """Write only if there are rows.
+
+    The rows are computed once, into the shared folder; the test and the result read them there.
+    """
+    rows = materialise(df, "out")
+    if rows.isEmpty():
         return False
-    WRITERS[form](df, path)
+    WRITERS[form](rows, path)
     return True
 
 
@@ -47,7 +53,7 @@ def export_products(products: DataFrame, discards: DataFrame, path: str) -> None
 
     Parquet is written first and read back for the CSV, so extraction runs once.
     """
-    spark = products.sparkSession
     if write_if_any(products, f"{path}/products.parquet", "parquet"):
-        write_csv(spark.read.schema(products.schema).parquet(f"{path}/products.parquet"), f"{path}/products.csv")
+        written = products.sparkSession.read.schema(products.schema).parquet(f"{path}/products.parquet")
+        write_csv(written, f"{path}/products.csv")
     write_if_any(discards, f"{path}/discards.csv")

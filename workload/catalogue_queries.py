@@ -256,7 +256,7 @@ def listing_stop(spark, sf_dir):
     keep = ["category", "page_no"]
     pages = first_pages(render.category_card_pages(spark, sf_dir), 4)
     found = materialise(card_pages(page_nodes(pages, *keep), keep), "cards")
-    stop = last_pages(rows_per_page(found, keep), "category")
+    stop = materialise(last_pages(rows_per_page(found, keep), "category"), "last-pages")
     rows = until_stop(cards(found, keep, BASE(SHOP)), stop, "category")
     return first_per_category(rows, "category", ["page_no", "item_no"], 25).select(*keep, "item_no", "url")
 

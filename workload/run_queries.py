@@ -171,8 +171,8 @@ def sitemap_products(spark, sf_dir):
     f"""
 WITH {PARTS}, {AUDIT},
 stop AS (SELECT host, sitemap_no, k FROM visits WHERE reason IS NULL ORDER BY host, sitemap_no, k LIMIT 1 OFFSET 99)
-SELECT v.url, v.reason FROM visits v, stop s
-WHERE v.reason IS NOT NULL AND (v.host, v.sitemap_no, v.k) < (s.host, s.sitemap_no, s.k)"""
+SELECT v.url, v.reason FROM visits v LEFT JOIN stop s ON true
+WHERE v.reason IS NOT NULL AND (s.k IS NULL OR (v.host, v.sitemap_no, v.k) < (s.host, s.sitemap_no, s.k))"""
 )
 def audit_split(spark, sf_dir):
     """Rows discarded until the hundredth product"""
@@ -282,7 +282,7 @@ def written(spark, sf_dir, form):
     path = fresh_dir(spark, f"listing-{form}")
     none = F.lit(None).cast("string")
     listing = pods(spark, sf_dir).withColumns({"category": none, "store": none}).select(*LISTING_SCHEMA.names)
-    write_if_any(materialise(listing, "listing"), path, form)
+    write_if_any(listing, path, form)
     return path
 
 
