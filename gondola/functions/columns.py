@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
 
 
+def evaluated_once(df: DataFrame, keep: Sequence[str], *columns: Column) -> DataFrame:
+    """Select ``keep`` and costly ``columns`` so that later filters do not compute them again.
+
+    Spark moves a filter below a projection by copying the projected expressions into it. It
+    does not move one below a generator, and this one gives exactly one row.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*columns))))
+
+
 def falsy_to_null(c: Column | str) -> Column:
     """Blank text counts as missing."""
     return F.nullif(as_col(c), F.lit(""))

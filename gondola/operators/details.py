@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gondola.functions.columns import as_of_seconds, falsy_to_null, let, with_constants, zero_to_null
+from gondola.functions.columns import as_of_seconds, evaluated_once, falsy_to_null, let, with_constants, zero_to_null
 from gondola.functions.price import price_decimal, price_from_parts
 from gondola.functions.urls import html_is_product
 from gondola.operators import jsonld
@@ -89,7 +89,7 @@ def page_subcategory() -> Column:
 
 def jsonld_details(nodes: DataFrame, keep: Sequence[str]) -> DataFrame:
     """What JSON-LD says about each page; ``bad_price`` marks price texts that are no numbers."""
-    found = nodes.select(*keep, jsonld.detail_fields(jsonld.detail_object(jsonld.scripts(page_scope()))).alias("ld"))
+    found = evaluated_once(nodes, keep, jsonld.detail_fields(jsonld.detail_object(jsonld.scripts(page_scope()))).alias("ld"))
     number = lambda c: F.coalesce(F.col(c).try_cast("double"), F.lit(0.0))
     bad = lambda c: F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()
     return found.select(
@@ -109,11 +109,9 @@ def detail_records(nodes: DataFrame, keep: Sequence[str]) -> DataFrame:
     Takes ``detail_nodes`` output. A page without JSON-LD name and heading has a null name.
     """
     scope = page_scope()
-    seen = nodes.select(
-        *keep,
-        PARSE_ERROR,
-        "html_is_product",
-        "out_of_stock",
+    seen = evaluated_once(
+        nodes,
+        [*keep, PARSE_ERROR, "html_is_product", "out_of_stock"],
         jsonld.detail_fields(jsonld.detail_object(jsonld.scripts(scope))).alias("ld"),
         span_price().alias("span_price"),
         first_text(scope, NAMES).alias("page_name"),
@@ -143,13 +141,12 @@ def detail_records(nodes: DataFrame, keep: Sequence[str]) -> DataFrame:
 def detail_prices(nodes: DataFrame, source: str, as_of: Column | None = None) -> DataFrame:
     """The rendered detail page, by exact class names. Takes nodes with ``url``."""
     scope = page_scope()
-    parts = nodes.select(
-        first_text(scope, EXACT_NAME).alias("product_name"),
-        *[first_text(scope, s).alias(name) for name, s in EXACT_PRICES.items()],
-        "url",
-    )
+    prices = [first_text(scope, s).alias(name) for name, s in EXACT_PRICES.items()]
+    parts = evaluated_once(nodes, ["url"], first_text(scope, EXACT_NAME).alias("product_name"), *prices)
     priced = parts.select(
-        "*",
+        "product_name",
+        *EXACT_PRICES,
+        "url",
         as_of_seconds(as_of).alias("timestamp_scrape"),
         F.lit(None).cast("int").alias("category_total_products"),
         price_decimal("price_web_integer", "price_web_fraction").cast("double").alias("price_web"),

@@ -19,8 +19,9 @@ def records_of(items: Column, record: Callable[[Column], Column]) -> Column:
 
 def record_rows(pages: DataFrame, keep: Sequence[str], records: str = RECORDS) -> DataFrame:
     """One row per record, numbered by ``item_no`` within its page."""
-    rows = pages.select(*keep, F.posexplode(records).alias("item_no", "record"))
-    return rows.select(*keep, "item_no", "record.*")
+    # for an inner explode Spark would first test the size of the array, by computing it again
+    rows = pages.select(*keep, F.posexplode_outer(records).alias("item_no", "record"))
+    return rows.filter("record is not null").select(*keep, "item_no", "record.*")
 
 
 def with_price(listing: DataFrame, mode: str = "literal") -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gondola.functions.columns import falsy_to_null, let
+from gondola.functions.columns import evaluated_once, falsy_to_null, let
 from gondola.functions.text import clean_text
 from gondola.functions.urls import resolve_rooted
 from gondola.operators.records import RECORDS, record_rows, records_of
@@ -69,6 +69,5 @@ def extract_template(
 def next_links(nodes: DataFrame, pagination: Group, keep: Sequence[str], base: str = "url") -> DataFrame:
     """X11: ``next_url`` of each page, null on the last one."""
     href = let(find_first(page_scope(), pagination), lambda i: falsy_to_null(attr(i, "href")))
-    return nodes.select(*keep, F.col(base).alias("_base"), href.alias("_href")).select(
-        *keep, resolve_rooted("_base", "_href").alias("next_url")
-    )
+    linked = evaluated_once(nodes, dict.fromkeys([*keep, base]), href.alias("_href"))
+    return linked.select(*keep, resolve_rooted(base, "_href").alias("next_url"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gondola.operators.dedup import keep_first
@@ -13,30 +13,23 @@ def follow_links(starts: DataFrame, links: DataFrame, max_pages: int = 30) -> Da
     """The URLs visited breadth-first, as ``(url, visit_no, hop)``, at most ``max_pages``.
 
     ``starts`` has ``(url, start_no)``, ``links`` has ``(url, next_url)`` with one row per page.
-    Each page has at most one successor, so every start opens one chain and ``max_pages`` bounds
-    both the chains and their length: the frontier never exceeds ``max_pages`` rows, whatever
-    the size of the corpus. The narrow link table is written once and probed at each hop.
+    Which page comes next is only known once a page was looked up, so hops follow one another.
+    The link table is written once, sorted by URL, and each hop asks it for at most
+    ``max_pages`` URLs: the scan skips the row groups without them, and the answer is as small.
+    The walk ends as soon as enough pages are found.
     """
     spark = starts.sparkSession
-    edges = materialise(links.filter("next_url is not null").select("url", "next_url"), "links")
-    first = keep_first(starts.select("url", "start_no"), ["url"], ["start_no"]).orderBy("start_no").limit(max_pages)
-    # a chain that comes back to its own URLs ends there
-    reached = spark.sql(
-        """
-        WITH RECURSIVE chain(url, start_no, hop, trail) MAX RECURSION LEVEL {levels} AS (
-          SELECT url, start_no, 0, array(url) FROM {first}
-          UNION ALL
-          SELECT e.next_url, c.start_no, c.hop + 1, array_append(c.trail, e.next_url)
-          FROM chain c JOIN {edges} e ON e.url = c.url
-          WHERE c.hop + 1 < {max_pages} AND NOT array_contains(c.trail, e.next_url)
-        )
-        SELECT url, start_no, hop FROM chain
-        """,
-        first=materialise(first, "starts"),
-        edges=edges,
-        max_pages=max_pages,
-        levels=max_pages + 1,
-    )
-    visited = keep_first(reached, ["url"], ["hop", "start_no"]).orderBy("hop", "start_no").limit(max_pages)
-    visit_no = F.row_number().over(Window.orderBy("hop", "start_no"))
-    return visited.select("url", visit_no.alias("visit_no"), "hop")
+    edges = links.filter("next_url is not null").select("url", "next_url")
+    edges = materialise(edges.repartition("url").sortWithinPartitions("url"), "links")
+    first = keep_first(starts.select("url", "start_no"), ["url"], ["start_no"])
+    frontier = [r.url for r in first.orderBy("start_no").limit(max_pages).collect()]
+    visited: dict[str, int] = {}
+    hop = 0
+    while frontier and len(visited) < max_pages:
+        fresh = [u for u in dict.fromkeys(frontier) if u not in visited][: max_pages - len(visited)]
+        visited.update(dict.fromkeys(fresh, hop))
+        onward = {r.url: r.next_url for r in edges.filter(F.col("url").isin(fresh)).collect()}
+        frontier = [onward[u] for u in fresh if u in onward]
+        hop += 1
+    rows = [(u, n, h) for n, (u, h) in enumerate(visited.items(), 1)]
+    return spark.createDataFrame(rows, "url string, visit_no int, hop int")

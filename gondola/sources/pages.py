@@ -22,10 +22,14 @@ def spread(pages: DataFrame) -> DataFrame:
     return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages
 
 
+def good_pages(pages: DataFrame) -> DataFrame:
+    """S3: pages answered with HTTP OK; a table without ``status`` holds only those."""
+    return pages.filter(F.col("status") == HTTP_OK) if "status" in pages.columns else pages
+
+
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """S3: a table of fetched pages. With a ``status`` column only HTTP-OK pages are kept."""
-    pages = spark.read.parquet(path)
-    return spread(pages.filter(F.col("status") == HTTP_OK) if "status" in pages.columns else pages)
+    """S3: a table of fetched pages."""
+    return spread(good_pages(spark.read.parquet(path)))
 
 
 def read_saved_page(spark: SparkSession, path: str) -> DataFrame:

@@ -167,7 +167,7 @@ details AS (
 DETAIL_COLUMNS = "name, sku, brand, price_online, price_regular, subcategory, images_count, availability, bad_price"
 
 
-@query(f"WITH {PARTS}, {DETAIL} SELECT k AS page_id, {DETAIL_COLUMNS} FROM details")
+@query(f"WITH {PARTS}, {DETAIL} SELECT k AS page_id, {DETAIL_COLUMNS} FROM details", name="detail_records")
 def detail_pages(spark, sf_dir):
     """X7 X8 E14 E15 E16 F15"""
     nodes = detail_nodes(render.detail_pages(spark, sf_dir), "page_id")
@@ -192,7 +192,7 @@ exact AS (
   FROM shown)"""
 
 
-@query(f"WITH {PARTS}, {EXACT} SELECT * EXCLUDE (k) FROM exact")
+@query(f"WITH {PARTS}, {EXACT} SELECT * EXCLUDE (k) FROM exact", name="detail_prices")
 def exact_details(spark, sf_dir):
     """X9 N4 G4 D1"""
     nodes = page_nodes(render.rendered_pages(spark, sf_dir), "url")
@@ -273,13 +273,13 @@ def cards_per_page(spark, sf_dir):
     return rows_per_page(shop_cards(spark, sf_dir), ["category", "page_no"])
 
 
-# links of the chains: page k leads to page k+1, the last of every third chain back to k-3
+# links of the chains: page k leads to page k+1, or back in a loop, or nowhere
 LINK = f"""
 edges AS (
   SELECT k, {SHOP_SQL} || '/page/' || k AS url,
-         CASE WHEN k % 7 = 6 AND k // 7 % 3 = 0 THEN {SHOP_SQL} || '/page/' || (k - 3)
-              WHEN k % 7 = 6 THEN NULL
-              WHEN k % 2 = 1 AND k % 61 = 1 THEN CAST(k + 1 AS VARCHAR)
+         CASE WHEN k % 2100 = 2 THEN {SHOP_SQL} || '/page/' || (k - 1)
+              WHEN k % 700 = 699 THEN NULL
+              WHEN k % 2 = 1 AND k % 700 = 361 THEN CAST(k + 1 AS VARCHAR)
               ELSE {SHOP_SQL} || '/page/' || (k + 1) END AS next_url
   FROM parts)"""
 
@@ -291,14 +291,16 @@ def next_page_links(spark, sf_dir):
     return next_links(nodes, DEFAULT_TEMPLATE.pagination, ["url"])
 
 
-def walk_starts(spark, sf_dir):
-    """Every 14th page is a start, in reverse order."""
-    pages = render.parts(spark, sf_dir).filter("k % 14 = 2")
-    return pages.select(render.fmt(SHOP + "/page/~", "k").alias("url"), (-F.col("k")).alias("start_no"))
+def walk_starts(pages, links):
+    """Pages that no other page links to."""
+    linked = links.select(F.col("next_url").alias("url"))
+    return pages.select("url", F.col("page_id").alias("start_no")).join(linked, "url", "left_anti")
 
 
 WALK = """
-starts AS (SELECT url, -k AS start_no FROM edges WHERE k % 14 = 2 ORDER BY start_no LIMIT 30),
+starts AS (
+  SELECT url, k AS start_no FROM edges WHERE url NOT IN (SELECT next_url FROM edges WHERE next_url IS NOT NULL)
+  ORDER BY start_no LIMIT 30),
 walk AS (
   SELECT url, start_no, 0 AS hop, [url] AS trail FROM starts
   UNION ALL
@@ -314,9 +316,9 @@ visits AS (
 @query(f"WITH RECURSIVE {PARTS}, {LINK}, {WALK} SELECT url, visit_no, hop FROM visits")
 def next_page_walk(spark, sf_dir):
     """R1 X11"""
-    nodes = page_nodes(render.link_pages(spark, sf_dir), "url")
-    links = next_links(nodes, DEFAULT_TEMPLATE.pagination, ["url"])
-    return follow_links(walk_starts(spark, sf_dir), links, 30)
+    pages = render.link_pages(spark, sf_dir)
+    links = materialise(next_links(page_nodes(pages, "url"), DEFAULT_TEMPLATE.pagination, ["url"]), "links")
+    return follow_links(walk_starts(pages, links), links, 30)
 
 
 @query(
@@ -361,7 +363,8 @@ WITH {SLOTS}, {POD}
 SELECT count(price) AS count, round(avg(price), 6) AS mean, round(stddev_samp(price), 6) AS std, min(price) AS min,
        round(quantile_cont(price, 0.25), 6) AS p25, round(quantile_cont(price, 0.5), 6) AS p50,
        round(quantile_cont(price, 0.75), 6) AS p75, max(price) AS max
-FROM pods"""
+FROM pods""",
+    name="price_summary",
 )
 def price_statistics(spark, sf_dir):
     """G6 G8"""

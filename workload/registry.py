@@ -12,13 +12,14 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(oracle: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function name."""
+def query(oracle: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function name, or another."""
 
     def add(run: Query) -> Query:
-        QUERIES[run.__name__] = run
+        key = name or run.__name__
+        QUERIES[key] = run
         if oracle is not None:
-            ORACLES[run.__name__] = oracle.strip()
+            ORACLES[key] = oracle.strip()
         return run
 
     return add

@@ -215,19 +215,17 @@ def category_card_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chains of seven pages; the last of every third chain points back into it, the others stop.
-
-    Some links are relative and stay so, which ends the walk.
+    """Chains of up to 700 pages. Every third begins with a loop; in each one a link is relative
+    and stays so, which ends the walk there.
     """
     k = F.col("k")
-    last = k % 7 == 6
-    back = fmt('<div class="pagination-next"><a href="/page/~">back</a></div>', k - 3)
+    back = fmt('<div class="pagination-next"><a href="/page/~">back</a></div>', k - 1)
     onward = (
         F.when(k % 2 == 0, fmt('<a class="next" href="/page/~">next</a>', k + 1))
-        .when(k % 61 == 1, fmt('<a class="next" href="~">next</a>', k + 1))
+        .when(k % 700 == 361, fmt('<a class="next" href="~">next</a>', k + 1))
         .otherwise(fmt('<a aria-label="Siguiente" href="' + SHOP + '/page/~">next</a>', k + 1))
     )
-    link = F.when(last & (F.floor(k / 7) % 3 == 0), back).when(last, '<a class="next">end</a>').otherwise(onward)
+    link = F.when(k % 2100 == 2, back).when(k % 700 == 699, '<a class="next">end</a>').otherwise(onward)
     item = fmt('<div class="resultado"><a href="/p/~">~</a><b class="salary">S/ ~</b></div>', "k", html_text("name"), "price_text")
     html = F.concat(F.lit(HEAD + '<a href="/home">home</a>'), item, link, F.lit(TAIL))
     return parts(spark, sf_dir).select(k.alias("page_id"), fmt(SHOP + "/page/~", "k").alias("url"), html.alias("html"))

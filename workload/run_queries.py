@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gondola.functions.urls import is_product_sitemap
-from gondola.operators.paging import topped_up
+from gondola.operators.nodes import page_nodes
+from gondola.operators.paging import first_rows, topped_up
 from gondola.operators.robots import host_policies, robots_rules
-from gondola.operators.template import DEFAULT_TEMPLATE
+from gondola.operators.template import DEFAULT_TEMPLATE, next_links
 from gondola.plans.category_crawl import category_crawl as crawl_categories
 from gondola.plans.rendered_details import discovered_urls as all_discovered
 from gondola.plans.rendered_details import rendered_details as details_of_sample
@@ -23,6 +24,7 @@ from gondola.plans.template_crawl import template_crawl as crawl_by_template
 from gondola.plans.template_crawl import template_pages
 from gondola.schemas import LISTING_SCHEMA
 from gondola.session import fresh_dir, materialise
+from gondola.sources.pages import HTTP_OK, good_pages
 from gondola.sources.sitemaps import index_locations
 from gondola.sources.tables import export_products, read_csv, write_if_any
 from workload import render
@@ -125,8 +127,10 @@ def discovered_urls(spark, sf_dir):
 
 
 def corpus(spark, sf_dir):
-    """Detail pages; every thirteenth was never fetched."""
-    return render.detail_pages(spark, sf_dir).filter("page_id % 13 <> 4").drop("page_id")
+    """Detail pages that were fetched well (S3); one in thirteen was not found."""
+    status = F.when(F.col("page_id") % 13 == 4, 404).otherwise(HTTP_OK)
+    pages = render.detail_pages(spark, sf_dir).withColumn("status", status)
+    return good_pages(pages).select("url", "html")
 
 
 def policies(spark, rule):
@@ -221,9 +225,9 @@ def category_cards(spark, sf_dir):
 @query(
     f"""
 WITH {SLOTS}, {CARD},
-sizes AS (SELECT category, count(*) AS n FROM cards WHERE category > 0 GROUP BY category),
+sizes AS (SELECT category, count(*) AS n FROM cards GROUP BY category),
 totals AS (SELECT category, 7 + coalesce(sum(n) OVER (ORDER BY category ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM sizes)
-SELECT name, url, 'sitemap' AS phase FROM (SELECT name, 'https://shop.example.com/prod-' || k || '/p' AS url, k FROM parts) WHERE k < 7
+SELECT name, url, 'sitemap' AS phase FROM (SELECT name, 'https://shop.example.com/prod-' || k || '/p' AS url FROM parts ORDER BY k LIMIT 7)
 UNION ALL
 SELECT c.name, c.url, NULL AS phase FROM cards c JOIN totals t USING (category) WHERE t.before < 60"""
 )
@@ -232,8 +236,9 @@ def top_up(spark, sf_dir):
     from gondola.operators.cards import cards
     from workload.catalogue_queries import shop_cards
 
-    first = render.parts(spark, sf_dir).filter("k < 7").select("name", render.detail_url().alias("url"), F.lit("sitemap").alias("phase"))
-    rows = cards(shop_cards(spark, sf_dir), ["category", "page_no"], F.lit(SHOP)).filter("category > 0")
+    first = first_rows(render.parts(spark, sf_dir), ["k"], 7)
+    first = first.select("name", render.detail_url().alias("url"), F.lit("sitemap").alias("phase"))
+    rows = cards(shop_cards(spark, sf_dir), ["category", "page_no"], F.lit(SHOP))
     collections = materialise(rows.select("name", "url", F.col("category").alias("collection")), "collections")
     return topped_up(first, collections, "collection", 60)
 
@@ -259,8 +264,9 @@ FROM visits JOIN edges USING (url) JOIN parts USING (k)"""
 )
 def template_crawl(spark, sf_dir):
     """Pages reached by next links to template records: R1 X11 X1 G1 N1"""
-    pages = render.link_pages(spark, sf_dir).drop("page_id")
-    return crawl_by_template(pages, walk_starts(spark, sf_dir), DEFAULT_TEMPLATE, 30)
+    pages = render.link_pages(spark, sf_dir)
+    links = next_links(page_nodes(pages, "url"), DEFAULT_TEMPLATE.pagination, ["url"])
+    return crawl_by_template(pages.drop("page_id"), walk_starts(pages, links), DEFAULT_TEMPLATE, 30)
 
 
 @query(
@@ -310,6 +316,4 @@ WITH {SLOTS}, {POD} SELECT title, url, price FROM pods ORDER BY title, url, page
 )
 def listing_preview(spark, sf_dir):
     """L4 L5"""
-    from gondola.operators.paging import first_rows
-
     return first_rows(pods(spark, sf_dir), ["title", "url", "page_id", "item_no"], 10).select("title", "url", "price")
