@@ -25,7 +25,8 @@ from gondola.operators.template import Template, extract_template
 from gondola.sources.pages import first_good_fetch, read_corpus
 from workload.registry import query
 
-UNESCAPED = "replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+# a cut-off title may end in an entity without its semicolon
+UNESCAPED = "regexp_replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;?', '&', 'g')"
 LINK_PATTERN = '<li><a href="([^"]*)">([^<]*)</a></li>'
 
 # links of a page as (page_id, url, link_no, href, text) in SQL
