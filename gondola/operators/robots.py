@@ -50,16 +50,19 @@ def robots_rules(files: DataFrame) -> DataFrame:
         F.sum((is_agent & ~follows_agent).cast("int")).over(so_far).alias("group_no"),
         F.coalesce(opener.over(so_far) == "user-agent", F.lit(False)).alias("in_group"),
     ).filter("in_group")
-    agents = grouped.filter(is_agent).select("host", "group_no", F.lower("value").alias("agent"))
-    rules = grouped.filter(is_rule).select(
-        "host",
-        "group_no",
+    rule = F.struct(
         F.col("line_no").alias("rule_no"),
         F.when(F.col("field").isin("allow", "disallow"), F.col("value")).alias("prefix"),
         # an empty Disallow allows everything
         ((F.col("field") == "allow") | (F.col("value") == "")).alias("allow"),
     )
-    return agents.join(rules, ["host", "group_no"]).select("host", "group_no", "agent", "rule_no", "prefix", "allow")
+    # a group is a part of one file, and already in one place
+    groups = grouped.groupBy("host", "group_no").agg(
+        F.collect_set(F.when(is_agent, F.lower("value"))).alias("agents"),
+        F.collect_list(F.when(is_rule, rule)).alias("rules"),
+    )
+    per_agent = groups.select("host", "group_no", F.explode("agents").alias("agent"), "rules")
+    return per_agent.select("host", "group_no", "agent", F.inline("rules"))
 
 
 def robots_sitemaps(files: DataFrame) -> DataFrame:
