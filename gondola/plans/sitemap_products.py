@@ -13,7 +13,7 @@ from gondola.operators.cards import card_pages, card_products, cards, join_detai
 from gondola.operators.dedup import dedup_products, keep_first
 from gondola.operators.details import detail_nodes, detail_records
 from gondola.operators.nodes import page_nodes
-from gondola.operators.paging import first_per_category, first_rows, last_pages, topped_up, until_stop
+from gondola.operators.paging import first_per_category, first_rows, last_pages, until_stop
 from gondola.operators.records import rows_per_page
 from gondola.operators.robots import with_allowed
 from gondola.session import materialise
@@ -82,13 +82,13 @@ def category_products(
 ) -> DataFrame:
     """Cards of listing pages ``(category, page_no, url, html)`` as products.
 
-    A category ends at its first barred, missing or empty page.
+    A category ends at its first barred, missing or empty page. Robots rules are joined to the
+    short card rows, not to the pages, so that no page text is shuffled.
     """
     place = ["category", "page_no"]
-    listed = pages
+    found = materialise(card_pages(page_nodes(pages, *place, "url"), [*place, "url"]), "card-pages")
     if policies is not None:
-        listed = with_allowed(pages, policies).filter("allowed").drop("allowed")
-    found = materialise(card_pages(page_nodes(listed, *place), place), "card-pages")
+        found = with_allowed(found, policies).filter("allowed").drop("allowed")
     stop = materialise(last_pages(rows_per_page(found, place), "category"), "last-pages")
     rows = until_stop(cards(found, place, base), stop, "category")
     rows = first_per_category(rows, "category", ["page_no", "item_no"], max_products)
@@ -114,8 +114,3 @@ def lookup_details(corpus: DataFrame) -> DataFrame:
 def final_products(products: DataFrame, order: list[str]) -> DataFrame:
     """Named products, each once."""
     return dedup_products(named_only(products), order)
-
-
-__all__ = [
-    "Discovered", "audit", "category_products", "discover", "final_products", "lookup_details", "topped_up", "visit",
-]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gondola.functions.urls import is_product_sitemap
+from gondola.functions.urls import is_product_sitemap, url_slug
 from gondola.operators.nodes import page_nodes
 from gondola.operators.paging import first_rows, topped_up
 from gondola.operators.robots import host_policies, robots_rules
@@ -111,11 +111,11 @@ def sitemap_urls(spark, sf_dir):
     return found.products.select("ord.host", "ord.sitemap_no", "url")
 
 
-@query(f"WITH {PARTS}, {SITEMAPS} SELECT host, sitemap_no, url FROM reached WHERE k % 5 = 4")
+@query(f"WITH {PARTS}, {SITEMAPS} SELECT host, sitemap_no, url, 'col-' || k AS slug FROM reached WHERE k % 5 = 4")
 def sitemap_collections(spark, sf_dir):
     """F4 T7"""
     found = discover(*render.sitemap_files(spark, sf_dir), max_urls=None)
-    return found.collections.select("ord.host", "ord.sitemap_no", "url")
+    return found.collections.select("ord.host", "ord.sitemap_no", "url", url_slug("url").alias("slug"))
 
 
 @query(f"WITH {PARTS}, {SITEMAPS} SELECT DISTINCT url FROM reached WHERE k % 5 <> 4 AND m % 4 <> 3")
