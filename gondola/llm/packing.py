@@ -9,9 +9,11 @@ than its group, and only underfull bins move.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,43 +30,87 @@ ARROW_PIECE = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start"
 BIN = f"sequence_id long, fill long, done boolean, pieces array<struct<{PIECE.replace(' ', ':').replace(',:', ',')}>>"
 
 
+#: Latin letters that composition leaves alone and lower-case one by one, and marks that never join letters
+SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,!?;:*#%$&|()]*)")
+
+
 class ChunkTokens:
-    """Ids of whole texts, from the ids of their space-separated chunks.
+    """Ids of whole texts, from the ids of their space-separated chunks, as little-endian bytes.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those of its chunks
-    in order; each chunk is looked up once while the table of known chunks stays below ``most``.
+    The tokenizer drops white space and never joins across it, nor does it join letters with the marks of
+    SIMPLE, so a text's ids are those of its parts in order. Each part is encoded once as long as it is
+    remembered: when ``most`` chunks are known, those not met since the table was last full are forgotten.
     """
 
-    def __init__(self, path: str, most: int = 200_000) -> None:
+    def __init__(self, path: str, most: int = 250_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.model = self.tokenizer.model
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = (chr(c) for c in range(0x80, 0x250))
+        self.bytes_of = {ord(c): byte_level.pre_tokenize_str(c)[0][0] for c in letters if SIMPLE.fullmatch(c)}
+
+    def encoded(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def word(self, text: str) -> bytes:
+        """Of a lower-case word of letters, straight from the merges."""
+        text = text if text.isascii() else text.translate(self.bytes_of)
+        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+
+    def learn(self, chunks: set[str]) -> None:
+        words: dict[str, bytes] = {}
+        for c in chunks:
+            ids = self.older.get(c)
+            if ids is None:
+                m = SIMPLE.fullmatch(c)
+                if m is None:
+                    ids = self.encoded(c)
+                else:
+                    word, mark = m[1].lower(), m[2]
+                    ids = words.get(word) or self.known.get(word) or self.older.get(word)
+                    if ids is None:
+                        ids = words[word] = self.word(word)
+                    if mark:
+                        if mark not in self.marks:
+                            self.marks[mark] = self.encoded(mark)
+                        ids += self.marks[mark]
+            self.known[c] = ids
 
-        self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
+    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
+        parts = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        new = set().union(*parts).difference(self.known)
+        if len(self.known) + len(new) > self.most:
+            self.known, self.older, self.marks = {}, self.known, {}
+            new = set().union(*parts)
+        if new:
+            self.learn(new)
+        for p in parts:
+            yield np.frombuffer(b"".join(map(self.known.__getitem__, p)), "<u4")
 
-    def chunks(self, texts: list[str]) -> list[list[str]]:
-        return [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
 
-    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for parts in self.chunks(texts):
-            new = list(set(parts).difference(self.known))
-            if len(self.known) + len(new) > self.most:
-                self.known, new = {}, list(set(parts))
-            if new:
-                found = self.tokenizer.encode_batch(new, add_special_tokens=False)
-                self.known.update((c, tuple(e.ids)) for c, e in zip(new, found, strict=True))
-            yield np.fromiter(chain.from_iterable(map(self.known.__getitem__, parts)), np.uint32)
+@lru_cache(1)
+def chunk_tokens(path: str) -> ChunkTokens:
+    """One for each Python worker, which serves many tasks."""
+    return ChunkTokens(path)
 
 
 def _pieces(path: str, capacity: int, end_id: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = ChunkTokens(path)
+        tokens = chunk_tokens(path)
         for part in parts:
             ids = part.column("doc_id").to_pylist()
             for first in range(0, len(ids), 256):
                 rows = []
                 texts = [t or "" for t in part.column("text").slice(first, 256).to_pylist()]
                 for doc, found in zip(ids[first : first + 256], tokens(texts), strict=True):
-                    found = np.append(found, np.uint32(end_id)).astype("<u4")
+                    found = np.append(found, np.uint32(end_id)).astype("<u4", copy=False)
                     for k, start in enumerate(range(0, len(found), capacity)):
                         piece = found[start : start + capacity]
                         rows.append((doc, k, start, len(piece), zlib.crc32(piece.tobytes())))
