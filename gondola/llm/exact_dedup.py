@@ -72,6 +72,7 @@ def exact_dedup(
         .agg(F.count("*").alias("group_size"), F.min(F.struct(-F.col("points"), "doc_id")).alias("best"))
         .select("digest", "group_size", F.col("best.doc_id").alias("keep_id"), F.lit(True).alias("found"))
     )
+    groups = materialise(groups, "groups")  # so that the join below may split a hot group
     keep = F.when(F.col("found"), F.col("keep_id")).otherwise(F.col("doc_id"))
     return digested.join(groups, "digest", "left").select(
         "doc_id",

@@ -215,6 +215,7 @@ def line_bitmaps(
         .agg(F.sum("n_docs").alias("total"), F.max("doc").alias("largest"))
         .filter(F.col("total") >= min_docs)
     )
+    totals = materialise(totals, "line-totals")  # at most two rows a range, so small enough to send to all tasks
     opened = (
         streamed.filter("pos >= 0 AND NOT decided")
         .join(totals, ["h1", "h2"])
