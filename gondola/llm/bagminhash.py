@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gondola.llm import words as W
@@ -168,51 +168,63 @@ def _similar(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     )
 
 
-def near_pairs(distinct: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
-    """Links a, b (with their similarity) that join all documents joined by chains of similar pairs of some bucket.
+BUCKET = ["band", "code"]
 
-    ``distinct`` has doc, n_shingles and bands, ``texts`` doc and text. Every bucket takes its smallest id
-    as hub and compares it with every member. A member of similarity s to the hub is done with when no
-    other member can add anything: distances (1 - similarity) obey the triangle inequality, so members linked to the
-    hub only have to be compared with those that lie beyond the threshold but less than twice as far,
-    and only when the two distances differ by no more than one threshold. What is left of a bucket takes
-    a new hub in the next round, until nothing is left. No bucket is cut, and none emits its pairs.
+
+def near_pairs(
+    distinct: DataFrame, texts: DataFrame, size: int, threshold: float, hubs_a_round: int = 8
+) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b, similarity), and the component of every linked document.
+
+    ``distinct`` has doc, n_shingles and bands, ``texts`` doc and text. In the first round every bucket takes its smallest
+    id as hub and compares it with every member. Later rounds only look at buckets whose members still belong to
+    more than one component. They leave the largest component of the bucket as it is, take some members of the others
+    as hubs, and compare these with all members of other components. A member that has been a hub is done
+    with, as it has met everything that could join it. This ends when each bucket is one component or has
+    no hub left, so two similar documents that share a bucket always end in one component, though a
+    bucket emits no more than ``hubs_a_round`` pairs a member and round.
     """
-    far = 1 - threshold
-    spread = distinct.select("doc", "n_shingles", F.posexplode("bands").alias("band", "code"))
-    members = materialise(spread, "buckets")
-    links, round_no = [], 0
-    buckets = ["band", "code"]
+    members = materialise(distinct.select("doc", "n_shingles", F.posexplode("bands").alias("band", "code")), "buckets")
+    hubs = members.groupBy(*BUCKET).agg(F.min(F.struct("doc", "n_shingles")).alias("hub"), F.count("*").alias("n"))
+    hubs = hubs.filter("n > 1").select(*BUCKET, F.col("hub.doc").alias("a"), F.col("hub.n_shingles").alias("n_a"))
+    hubs = materialise(hubs, "hubs")  # written sums let the joins below split hot buckets
+    met = members.join(hubs, BUCKET).filter("doc <> a")
+    met = materialise(met.select(*BUCKET, F.col("doc").alias("b"), "n_shingles", "a", "n_a"), "met")
+    close = F.least("n_shingles", "n_a") >= threshold * F.greatest("n_shingles", "n_a")  # else they can't be similar
+    wanted = met.select(F.col("a").alias("doc")).unionByName(met.select(F.col("b").alias("doc"))).distinct()
+    texts = materialise(texts.join(wanted, "doc", "left_semi"), "candidates")
+    compared = materialise(_similar(met.filter(close).select("a", "b").distinct(), texts, size), "compared-0")
+    members = met.select(*BUCKET, F.col("b").alias("doc"), "n_shingles")
+    round_no = 0
     while True:
-        hubs = members.groupBy(*buckets).agg(F.min(F.struct("doc", "n_shingles")).alias("hub"), F.count("*").alias("n"))
-        hubs = hubs.filter("n > 1").select(*buckets, F.col("hub.doc").alias("a"), F.col("hub.n_shingles").alias("n_a"))
-        met = members.join(hubs, buckets).filter("doc <> a").withColumnRenamed("doc", "b")
-        met = materialise(met, f"met-{round_no}")
-        # fewer than half of the larger multiset's shingles: too far from the hub to matter in any way
-        possible = F.least("n_shingles", "n_a") >= (1 - 2 * far) * F.greatest("n_shingles", "n_a")
-        pairs = met.filter(possible).select("a", "b").distinct()
-        if round_no == 0:
-            wanted = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
-            others = met.select(F.col("b").alias("doc")).distinct()
-            texts = materialise(texts.join(wanted.unionByName(others).distinct(), "doc", "left_semi"), "candidates")
-        compared = materialise(_similar(pairs, texts, size), f"compared-{round_no}")
-        links.append(compared.filter(F.col("similarity") >= threshold))
-        distance = 1 - F.coalesce("similarity", F.lit(0.0))
-        known = met.join(compared, ["a", "b"], "left").select(*buckets, "b", "n_shingles", distance.alias("d"))
-        nearest = known.filter(F.col("d") > far).groupBy(*buckets).agg(
-            F.min(F.when(F.col("d") <= 2 * far, F.col("d"))).alias("nearest_beyond")
+        links = compared.filter(F.col("similarity") >= threshold)
+        parts = materialise(components(links.select("a", "b")), f"components-{round_no}")
+        round_no += 1
+        placed = members.join(parts.withColumnRenamed("node", "doc"), "doc", "left")
+        placed = materialise(
+            placed.select(*BUCKET, "doc", "n_shingles", F.coalesce("component", "doc").alias("component")), f"placed-{round_no}"
         )
-        left = known.join(nearest, buckets).filter(
-            (F.col("d") > far) | (F.col("nearest_beyond") - F.col("d") <= far)
+        shares = placed.groupBy(*BUCKET, "component").agg(F.count("*").alias("n"))
+        open_ = shares.groupBy(*BUCKET).agg(
+            F.max(F.struct("n", "component")).getField("component").alias("largest"), F.count("*").alias("n_components")
         )
-        members = materialise(left.select(F.col("b").alias("doc"), "n_shingles", *buckets), f"left-{round_no}")
-        round_no += 1
-        if members.isEmpty():
-            break
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return out.groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
+        open_ = materialise(open_.filter("n_components > 1").drop("n_components"), f"open-{round_no}")
+        if open_.isEmpty():
+            return links, parts
+        placed = materialise(placed.join(open_, BUCKET), f"unsettled-{round_no}")
+        turn = Window.partitionBy(*BUCKET).orderBy("doc")
+        hubs = placed.filter("component <> largest").withColumn("turn", F.row_number().over(turn))
+        hubs = hubs.filter(F.col("turn") <= hubs_a_round).select(
+            *BUCKET, F.col("doc").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("of_a")
+        )
+        hubs = materialise(hubs, f"hubs-{round_no}")
+        pairs = placed.join(hubs, BUCKET).filter((F.col("component") != F.col("of_a")) & close)
+        pairs = pairs.select(F.least("a", "doc").alias("a"), F.greatest("a", "doc").alias("b")).distinct()
+        pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
+        more = materialise(_similar(pairs, texts, size), f"compared-{round_no}")
+        compared = compared.unionByName(more)
+        done = hubs.select(*BUCKET, F.col("a").alias("doc"))
+        members = placed.drop("component", "largest").join(done, [*BUCKET, "doc"], "left_anti")
 
 
 def near_duplicates(
@@ -240,23 +252,23 @@ def near_duplicates(
     )
     signed = materialise(keyed.mapInArrow(_signatures(size, bands, depth), SIGNATURES), "signatures")
     worded = signed.filter("n_shingles > 0")
-    equal = worded.groupBy("k1", "k2").agg(F.min("doc").alias("rep"))
+    equal = materialise(worded.groupBy("k1", "k2").agg(F.min("doc").alias("rep")), "equal")
     member = signed.select("doc", "k1", "k2", "n_shingles").join(equal, ["k1", "k2"], "left")
     member = materialise(
         member.select("doc", F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("doc")).alias("rep")), "members"
     )
     distinct = worded.join(equal.select("k1", "k2", F.col("rep").alias("doc")), ["k1", "k2", "doc"], "left_semi").dropDuplicates(["doc"])
-    links = materialise(near_pairs(distinct.select("doc", "n_shingles", "bands"), keyed, size, threshold), "links")
-    classes = components(links.select("a", "b"))
-    counted = (
-        links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("n_links"))
-    )
+    links, parts = near_pairs(distinct.select("doc", "n_shingles", "bands"), keyed, size, threshold)
+    ends = links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep")))
+    counted = ends.groupBy("rep").agg(F.count("*").alias("n_links"))
+    classes = parts.withColumnRenamed("node", "rep").join(counted, "rep")
+    classes = materialise(classes, "classes")
     found = (
-        member.join(classes.select(F.col("node").alias("rep"), "component"), "rep", "left")
-        .join(counted, "rep", "left")
+        member.join(classes, "rep", "left")
         .select("doc", "rep", F.coalesce("component", "rep").alias("class"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     )
-    sizes = found.groupBy("class").agg(F.count("*").alias("class_size"))
+    found = materialise(found, "found")
+    sizes = materialise(found.groupBy("class").agg(F.count("*").alias("class_size")), "class-sizes")
     back = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
     return found.join(sizes, "class").select(
         back("doc").alias("doc_id"), back("class").alias("class_id"), back("rep").alias("rep_id"), "n_links", "class_size"

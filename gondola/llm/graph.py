@@ -21,6 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+        low = materialise(low, "low")  # written, so that the join may split a hot node
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
         large = materialise(large, "large-star")
         low = large.groupBy("a").agg(F.min("b").alias("low"))
