@@ -4,7 +4,7 @@ A window is a number of consecutive words of one text; it recurs if its words al
 1. Anchors. Every window has a smallest hash among its shorter n-grams, and equal windows have the same one. Only
    these smallest hashes, a few in a hundred words, are counted over the corpus.
 2. Confirmation. Windows whose anchor occurs more than once are counted in full, by two hashes of their words.
-   Runs of confirmed windows are the recurring passages of a text.
+   Nearly all of them recur, so only those that don't are named. Runs of the others are a text's passages.
 3. Location. Texts are streamed in shards. Each shard compiles an Aho-Corasick automaton over words from the
    passages confirmed for its texts and reads every text through it; all that the automaton finds goes.
 Texts that are equal as a whole are counted once with their number, so a group of copies costs one text.
@@ -90,23 +90,29 @@ def _anchors(size: int, gram: int):
     return run
 
 
+def candidate_windows(hashes: np.ndarray, rows: np.ndarray, n: int, wanted: list, size: int, gram: int) -> np.ndarray:
+    """First words of windows whose anchor is one of those wanted for their row."""
+    starts, lows, _ = smallest_grams(hashes, rows, size, gram)
+    edges = np.searchsorted(rows[starts], np.arange(n + 1))
+    hit = np.zeros(len(starts), bool)
+    for k in range(n):
+        a, z = edges[k], edges[k + 1]
+        if z > a and wanted[k] is not None:
+            hit[a:z] = np.isin(lows[a:z], wanted[k].view(W.U))
+    return starts[hit]
+
+
 def _windows(size: int, gram: int):
     """Windows of a text whose anchor recurs."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             r1, r2, copies = (part.column(c).to_numpy() for c in (*KEY, "copies"))
-            wanted = part.column("recurring")
+            recurring = part.column("recurring")
             for first, n, data, offsets in W.text_slices(part.column("text")):
                 hashes, _, _, rows = W.word_hashes(data, offsets)
-                starts, lows, _ = smallest_grams(hashes, rows, size, gram)
-                edges = np.searchsorted(rows[starts], np.arange(n + 1))
-                hit = np.zeros(len(starts), bool)
-                for k in range(n):
-                    a, z = edges[k], edges[k + 1]
-                    if z > a:
-                        hit[a:z] = np.isin(lows[a:z], wanted[first + k].values.to_numpy().view(W.U))
-                at = starts[hit]
+                wanted = [x.values.to_numpy() for x in recurring.slice(first, n)]
+                at = candidate_windows(hashes, rows, n, wanted, size, gram)
                 if len(at):
                     of = rows[at]
                     begins = np.searchsorted(rows, of)
@@ -119,19 +125,12 @@ def _windows(size: int, gram: int):
     return run
 
 
-def _runs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Places of windows as runs: first and last window of each."""
-    for part in parts:
-        firsts, lasts = [], []
-        for places in part.column("places"):
-            x = np.unique(places.values.to_numpy())
-            cut = np.flatnonzero(np.diff(x) > 1)
-            firsts.append(x[np.append(0, cut + 1)])
-            lasts.append(x[np.append(cut, len(x) - 1)])
-        yield pa.RecordBatch.from_arrays(
-            [part.column("r1"), part.column("r2"), pa.array(firsts, pa.list_(pa.int32())), pa.array(lasts, pa.list_(pa.int32()))],
-            [*KEY, "firsts", "lasts"],
-        )
+def runs(places: np.ndarray) -> list[tuple[int, int]]:
+    """First and last of each run of consecutive places."""
+    if not len(places):
+        return []
+    cut = np.flatnonzero(np.diff(places) > 1)
+    return list(zip(places[np.append(0, cut + 1)].tolist(), places[np.append(cut, len(places) - 1)].tolist(), strict=True))
 
 
 def compiled(phrases: set[tuple[int, ...]]) -> ahocorasick.Automaton:
@@ -143,17 +142,25 @@ def compiled(phrases: set[tuple[int, ...]]) -> ahocorasick.Automaton:
     return automaton
 
 
-def _located(size: int, shard_words: int):
+def passages(text: str, recurring: np.ndarray, single: np.ndarray | None, size: int, gram: int) -> list[tuple[int, int]]:
+    """The recurring passages of a text: first and last window of each."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    hashes, _, _, rows = W.word_hashes(data, np.array([0, len(data)]))
+    at = candidate_windows(hashes, rows, 1, [recurring], size, gram)
+    return runs(at if single is None else np.setdiff1d(at, single))
+
+
+def _located(size: int, gram: int, shard_words: int):
     def shard(rows: list[tuple]) -> pa.RecordBatch:
         numbers: dict[str, int] = {}
         phrases = set()
-        for _, found, firsts, lasts in rows:
-            for a, z in zip(firsts or (), lasts or (), strict=True):
+        for _, found, repeated in rows:
+            for a, z in repeated:
                 for at in (*range(a, z, size), z):
                     phrases.add(tuple([numbers.setdefault(w, len(numbers) + 1) for w in found[at : at + size]]))
         automaton = compiled(phrases) if phrases else None
         out = []
-        for doc, found, _, _ in rows:
+        for doc, found, _ in rows:
             spans, removed, kept = [], 0, found
             if automaton is not None and len(found) >= size:
                 ends = [e for e, _ in automaton.iter(tuple([numbers.get(w, 0) for w in found]))]
@@ -176,11 +183,12 @@ def _located(size: int, shard_words: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, n = [], 0
         for part in parts:
-            columns = [part.column(c) for c in ("doc", "text", "firsts", "lasts")]
+            columns = [part.column(c) for c in ("doc", "text", "recurring", "single")]
             for k in range(part.num_rows):
-                doc, text, firsts, lasts = (c[k].as_py() for c in columns)
+                doc, text = columns[0][k].as_py(), columns[1][k].as_py()
+                recurring, single = (c[k].values.to_numpy() if c[k].is_valid else None for c in columns[2:])
                 found = WORD.findall(text)
-                rows.append((doc, found, firsts, lasts))
+                rows.append((doc, found, passages(text, recurring, single, size, gram) if recurring is not None else []))
                 n += len(found)
                 if n >= shard_words or len(rows) >= 4096:
                     yield shard(rows)
@@ -209,31 +217,32 @@ def repeated_phrases(
         text.alias("text"),
     )
     anchored = materialise(keyed.mapInArrow(_anchors(size, GRAM), ANCHORS), "anchors")
-    distinct = anchored.filter(F.col("n_words") >= size).groupBy(*KEY).agg(F.min("doc").alias("doc"), F.count("*").alias("n"))
-    distinct = distinct.select(*KEY, "doc", F.when(F.col("n") > 1, 2).otherwise(1).alias("copies"))
-    one = anchored.join(distinct, [*KEY, "doc"]).dropDuplicates(KEY)
-    places = materialise(one.select(*KEY, "doc", "copies", F.explode("anchors").alias("anchor")), "anchor-places")
+    one = anchored.filter(F.col("n_words") >= size).groupBy(*KEY)  # equal texts have equal anchors
+    one = one.agg(F.min("doc").alias("doc"), F.count("*").alias("n"), F.first("anchors").alias("anchors"))
+    copies = F.when(F.col("n") > 1, 2).otherwise(1).alias("copies")
+    places = materialise(one.select(*KEY, "doc", copies, F.explode("anchors").alias("anchor")), "anchor-places")
     recurring = places.groupBy("anchor").agg(F.sum("copies").alias("n")).filter("n > 1").select("anchor")
+    recurring = materialise(recurring, "recurring")  # written sums let the joins below split hot anchors and windows
     candidates = (
         places.join(recurring, "anchor", "left_semi")
         .groupBy(*KEY, "doc")
         .agg(F.collect_set("anchor").alias("recurring"), F.max("copies").alias("copies"))
     )
-    windows = materialise(
+    candidates = materialise(candidates, "candidates")
+    windows = (
         keyed.join(candidates, [*KEY, "doc"])
         .select(*KEY, "copies", "recurring", "text")
-        .mapInArrow(_windows(size, GRAM), WINDOWS),
-        "windows",
-    )
-    counted = windows.groupBy("w1", "w2").agg(F.sum("copies").alias("n")).filter("n > 1").select("w1", "w2")
-    confirmed = windows.join(counted, ["w1", "w2"], "left_semi").groupBy(*KEY).agg(F.collect_list("at").alias("places"))
-    passages = materialise(
-        confirmed.mapInArrow(_runs, "r1 long, r2 long, firsts array<int>, lasts array<int>"), "passages"
+        .mapInArrow(_windows(size, GRAM), WINDOWS)
     )
+    # most candidates recur: those that do not are named, by the one place they have, and taken away
+    counted = F.sum(F.shiftleft(F.col("copies").cast("long"), 32) + F.col("at")).alias("sum")  # a count above, a place below
+    single = windows.groupBy("w1", "w2").agg(counted, *[F.min(k).alias(k) for k in KEY]).filter(F.shiftright("sum", 32) == 1)
+    single = single.select(*KEY, F.col("sum").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("at")).groupBy(*KEY).agg(F.collect_set("at").alias("single"))
+    repeated = materialise(candidates.select(*KEY, "recurring").join(single, KEY, "left"), "repeated")
     found = (
-        keyed.join(passages, KEY, "left")
-        .select("doc", "text", "firsts", "lasts")
-        .mapInArrow(_located(size, shard_words), FOUND)
+        keyed.join(repeated, KEY, "left")
+        .select("doc", "text", "recurring", "single")
+        .mapInArrow(_located(size, GRAM, shard_words), FOUND)
     )
     return found.select(
         F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id"), "n_words", "n_removed", "spans", "kept_text"
