@@ -132,7 +132,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label_col: str, learn: Column,
     """y (0 or 1) and text of the labelled rows to learn from, written once; null labels go, null texts are empty."""
     chosen = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("y")).filter("y IN (0, 1)")
     rows = docs.filter(learn).select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return materialise(rows.join(chosen, "__id").select("y", "text"), "labelled")
+    # one plan at every size: labels grow with the documents
+    return materialise(rows.join(chosen.hint("merge"), "__id").select("y", "text"), "labelled")
 
 
 def train(
