@@ -29,6 +29,8 @@ FUZZY_FROM, TWO_EDITS_FROM = 5, 8  # lengths of terms
 FLUSH = 200_000
 #: what a count weighs before any row is seen: bias, exact, exact quoted, fuzzy, fuzzy quoted
 PRIOR = np.array([-3.0, 4.0, 0.5, 3.5, 0.3])
+#: and, by the fitted weight of an exact term: exact, exact quoted, fuzzy, fuzzy quoted
+TIED = np.array([1.0, 0.1, 1.0, 0.1])
 
 
 @dataclass
@@ -143,12 +145,18 @@ def quoted(before: str, after: str) -> bool:
     return mark in "“„«"
 
 
-def fitted(counts: np.ndarray, y: np.ndarray, steps: int = 25) -> np.ndarray:
-    """Logistic weights, with PRIOR as the mean of a normal prior of variance 1, by Newton's method."""
-    x, w = inputs(counts), PRIOR.copy()
+def fitted(counts: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Logistic weights. What the rows don't show of quoted and misspelled terms follows from the weight of exact ones."""
+    w = newton(counts, y, PRIOR)
+    return newton(counts, y, np.append(w[0], w[1] * TIED))
+
+
+def newton(counts: np.ndarray, y: np.ndarray, prior: np.ndarray, steps: int = 25) -> np.ndarray:
+    """Logistic weights with a normal prior of variance 1 around ``prior``, by Newton's method."""
+    x, w = inputs(counts), prior.copy()
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - y) + (w - PRIOR)
+        gradient = x.T @ (p - y) + (w - prior)
         curve = (x * (p * (1 - p))[:, None]).T @ x + np.eye(len(w))
         step = np.linalg.solve(curve, gradient)
         w -= step * min(1.0, 2 / max(1e-9, np.abs(step).max()))
