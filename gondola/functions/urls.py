@@ -79,6 +79,11 @@ def _decoded(c: Column) -> Column:
     return F.coalesce(F.try_url_decode(c), c)
 
 
+def _encoded(c: Column) -> Column:
+    """Percent-encoding that leaves ``~`` and encodes ``*``."""
+    return F.replace(F.replace(F.url_encode(c), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A"))
+
+
 def set_page_parameter(url: Column | str, page: Column | int) -> Column:
     """Set ``page=N`` and keep the other parameters, grouped at first appearance."""
     url = as_col(url)
@@ -93,7 +98,7 @@ def set_page_parameter(url: Column | str, page: Column | int) -> Column:
         pairs,
         lambda p: F.struct(
             _decoded(F.regexp_extract(p, r"^([^=]*)=", 1)).alias("k"),
-            F.url_encode(_decoded(F.regexp_extract(p, r"^[^=]*=(.*)$", 1))).alias("v"),
+            _encoded(_decoded(F.regexp_extract(p, r"^[^=]*=(.*)$", 1))).alias("v"),
         ),
     )
 
@@ -104,7 +109,7 @@ def set_page_parameter(url: Column | str, page: Column | int) -> Column:
         def one_key(k: Column) -> Column:
             same = F.filter(ps, lambda p: p["k"] == k)
             values = F.when(k == "page", F.array(number)).otherwise(F.transform(same, lambda p: p["v"]))
-            return F.array_join(F.transform(values, lambda v: F.concat(F.url_encode(k), F.lit("="), v)), "&")
+            return F.array_join(F.transform(values, lambda v: F.concat(_encoded(k), F.lit("="), v)), "&")
 
         return F.array_join(F.transform(keys, one_key), "&")
 
@@ -118,8 +123,9 @@ def append_page(url: Column | str, page: Column) -> Column:
 
 
 def url_path(url: Column | str) -> Column:
-    """Path of a URL, ``/`` if it has none."""
-    return F.coalesce(falsy_to_null(_part(as_col(url), 3)), F.lit("/"))
+    """Path of a URL without the parameters of its last segment, ``/`` if it has none."""
+    path = F.regexp_replace(_part(as_col(url), 3), r";[^/]*$", "")
+    return F.coalesce(falsy_to_null(path), F.lit("/"))
 
 
 def url_host(url: Column | str) -> Column:

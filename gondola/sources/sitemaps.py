@@ -12,13 +12,16 @@ CORRUPT = "_corrupt_record"
 INDEX_SHAPE = f"sitemap array<struct<loc string>>, {CORRUPT} string"
 SITEMAP_SHAPE = "url array<struct<loc string>>"
 
+# elements count by their own name, whatever prefix their namespace has
+ANY_PREFIX = {"ignoreNamespace": "true"}
+
 # Where to look when there is no usable index.
 DEFAULT_SITEMAPS = ["/sitemap.xml", "/arquivos/colecciones-wong-sitemap.xml"]
 
 
 def _locations(body: Column, shape: str, field: str) -> Column:
     # malformed text gives no fields
-    locs = F.transform(F.from_xml(body, shape)[field], lambda e: falsy_to_null(F.trim(e["loc"])))
+    locs = F.transform(F.from_xml(body, shape, ANY_PREFIX)[field], lambda e: falsy_to_null(F.trim(e["loc"])))
     return F.filter(locs, lambda loc: loc.isNotNull())
 
 
@@ -29,8 +32,8 @@ def index_locations(index: DataFrame, host: str = "host", body: str = "body", li
     """
     found = _locations(F.col(body), INDEX_SHAPE, "sitemap")
     defaults = F.transform(F.array(*map(F.lit, DEFAULT_SITEMAPS)), lambda p: F.concat(F.lit("https://"), F.col(host), p))
-    parsed = F.from_xml(body, INDEX_SHAPE, {"columnNameOfCorruptRecord": CORRUPT})
-    usable = F.contains(F.col(body), F.lit("<sitemapindex")) & parsed.isNotNull() & parsed[CORRUPT].isNull()
+    parsed = F.from_xml(body, INDEX_SHAPE, {"columnNameOfCorruptRecord": CORRUPT, **ANY_PREFIX})
+    usable = F.col(body).rlike(r"<(?:[\w.-]+:)?sitemapindex[\s>]") & parsed.isNotNull() & parsed[CORRUPT].isNull()
     locs = F.when(usable, F.coalesce(found, F.array().cast("array<string>"))).otherwise(defaults)
     if limit is not None:
         locs = F.slice(locs, 1, limit)
