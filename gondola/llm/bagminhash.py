@@ -168,9 +168,53 @@ def _similar(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     )
 
 
+def _weights(size: int):
+    """The shingles of each text and how often they occur."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            ids = part.column("doc").to_numpy(zero_copy_only=False)
+            for first, n, data, offsets in W.text_slices(part.column("text"), SMALL, 1 << ROW_BITS):
+                found, of, _ = shingles(data, offsets, size)
+                found, of, weights = weighted(found, of)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[first : first + n][of]), W.signed(found), pa.array(weights)], ["doc", "shingle", "n"]
+                )
+
+    return run
+
+
 BUCKET = ["band", "code"]
 
 
+def _unsettled(members: DataFrame, parts: DataFrame, step: str) -> DataFrame:
+    """Members of buckets that hold more than one component, with theirs and the largest of the bucket."""
+    names = members.columns
+    placed = members.join(parts.withColumnRenamed("node", "doc"), "doc", "left")
+    placed = materialise(placed.select(*names, F.coalesce("component", "doc").alias("component")), f"placed-{step}")
+    shares = placed.groupBy(*BUCKET, "component").agg(F.count("*").alias("n"))
+    open_ = shares.groupBy(*BUCKET).agg(
+        F.max(F.struct("n", "component")).getField("component").alias("largest"), F.count("*").alias("n_components")
+    )
+    open_ = materialise(open_.filter("n_components > 1").drop("n_components"), f"open-{step}")
+    return materialise(placed.join(open_, BUCKET), f"unsettled-{step}")
+
+
+def _linkable(members: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
+    """Members that may be similar to another one, with ``n_common``, the most they can have in common with any.
+
+    A shingle that no other member has is in no overlap. So if too few of a member's shingles are left, it has no link.
+    """
+    docs = texts.join(members.select("doc").distinct(), "doc", "left_semi").select("doc", "text")
+    found = docs.mapInArrow(_weights(size), "doc long, shingle long, n long")
+    alone = found.groupBy("shingle").agg(F.count("*").alias("docs"), F.min("doc").alias("doc"), F.min("n").alias("n"))
+    alone = materialise(alone.filter("docs = 1").groupBy("doc").agg(F.sum("n").alias("alone")), "alone")
+    common = F.col("n_shingles") - F.coalesce("alone", F.lit(0))
+    names = [*BUCKET, "doc", "n_shingles"]
+    kept = members.join(alone, "doc", "left").select(*names, common.alias("n_common"))
+    return materialise(kept.filter(F.col("n_common") >= threshold * F.col("n_shingles")), "linkable")
+
+
 def near_pairs(
     distinct: DataFrame, texts: DataFrame, size: int, threshold: float, hubs_a_round: int = 8
 ) -> tuple[DataFrame, DataFrame]:
@@ -178,7 +222,8 @@ def near_pairs(
 
     ``distinct`` has doc, n_shingles and bands, ``texts`` doc and text. In the first round every bucket takes its smallest
     id as hub and compares it with every member. Later rounds only look at buckets whose members still belong to
-    more than one component. They leave the largest component of the bucket as it is, take some members of the others
+    more than one component. Members with too many shingles of their own to be similar to any other leave them first
+    (``_linkable``). The rounds leave the largest component of the bucket as it is, take some members of the others
     as hubs, and compare these with all members of other components. A member that has been a hub is done
     with, as it has met everything that could join it. This ends when each bucket is one component or has
     no hub left, so two similar documents that share a bucket always end in one component, though a
@@ -195,27 +240,26 @@ def near_pairs(
     texts = materialise(texts.join(wanted, "doc", "left_semi"), "candidates")
     compared = materialise(_similar(met.filter(close).select("a", "b").distinct(), texts, size), "compared-0")
     members = met.select(*BUCKET, F.col("b").alias("doc"), "n_shingles")
+    most = F.least("n_common", "common_a")  # no pair has more in common
+    close = most >= threshold * (F.col("n_shingles") + F.col("n_a") - most)
     round_no = 0
     while True:
         links = compared.filter(F.col("similarity") >= threshold)
         parts = materialise(components(links.select("a", "b")), f"components-{round_no}")
-        round_no += 1
-        placed = members.join(parts.withColumnRenamed("node", "doc"), "doc", "left")
-        placed = materialise(
-            placed.select(*BUCKET, "doc", "n_shingles", F.coalesce("component", "doc").alias("component")), f"placed-{round_no}"
-        )
-        shares = placed.groupBy(*BUCKET, "component").agg(F.count("*").alias("n"))
-        open_ = shares.groupBy(*BUCKET).agg(
-            F.max(F.struct("n", "component")).getField("component").alias("largest"), F.count("*").alias("n_components")
-        )
-        open_ = materialise(open_.filter("n_components > 1").drop("n_components"), f"open-{round_no}")
-        if open_.isEmpty():
+        placed = _unsettled(members, parts, str(round_no))
+        if round_no == 0 and not placed.isEmpty():
+            placed = _unsettled(_linkable(placed, texts, size, threshold), parts, "linkable")
+        if placed.isEmpty():
             return links, parts
-        placed = materialise(placed.join(open_, BUCKET), f"unsettled-{round_no}")
+        round_no += 1
         turn = Window.partitionBy(*BUCKET).orderBy("doc")
         hubs = placed.filter("component <> largest").withColumn("turn", F.row_number().over(turn))
         hubs = hubs.filter(F.col("turn") <= hubs_a_round).select(
-            *BUCKET, F.col("doc").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("of_a")
+            *BUCKET,
+            F.col("doc").alias("a"),
+            F.col("n_shingles").alias("n_a"),
+            F.col("n_common").alias("common_a"),
+            F.col("component").alias("of_a"),
         )
         hubs = materialise(hubs, f"hubs-{round_no}")
         pairs = placed.join(hubs, BUCKET).filter((F.col("component") != F.col("of_a")) & close)
