@@ -158,8 +158,12 @@ def _compared(size: int):
     return run
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """a, b, similarity of pairs (a, b). The text of a is the one that many pairs may share."""
+def _similar(pairs: DataFrame, texts: DataFrame, size: int, step: str) -> DataFrame:
+    """a, b, similarity of pairs (a, b). The text of a is the one that many pairs may share.
+
+    The pairs are written, so that Spark knows their size: if they are few, the texts stay where they are.
+    """
+    pairs = materialise(pairs, f"pairs-{step}")
     return (
         pairs.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
         .join(texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
@@ -216,7 +220,7 @@ def _linkable(members: DataFrame, texts: DataFrame, size: int, threshold: float)
 
 
 def near_pairs(
-    distinct: DataFrame, texts: DataFrame, size: int, threshold: float, hubs_a_round: int = 8
+    distinct: DataFrame, texts: DataFrame, size: int, threshold: float, first_hubs: int = 8
 ) -> tuple[DataFrame, DataFrame]:
     """Links (a, b, similarity), and the component of every linked document.
 
@@ -227,7 +231,7 @@ def near_pairs(
     as hubs, and compare these with all members of other components. A member that has been a hub is done
     with, as it has met everything that could join it. This ends when each bucket is one component or has
     no hub left, so two similar documents that share a bucket always end in one component, though a
-    bucket emits no more than ``hubs_a_round`` pairs a member and round.
+    bucket emits no more pairs a member and round than it has hubs: ``first_hubs``, then twice as many each round.
     """
     members = materialise(distinct.select("doc", "n_shingles", F.posexplode("bands").alias("band", "code")), "buckets")
     hubs = members.groupBy(*BUCKET).agg(F.min(F.struct("doc", "n_shingles")).alias("hub"), F.count("*").alias("n"))
@@ -237,24 +241,28 @@ def near_pairs(
     met = materialise(met.select(*BUCKET, F.col("doc").alias("b"), "n_shingles", "a", "n_a"), "met")
     close = F.least("n_shingles", "n_a") >= threshold * F.greatest("n_shingles", "n_a")  # else they can't be similar
     wanted = met.select(F.col("a").alias("doc")).unionByName(met.select(F.col("b").alias("doc"))).distinct()
+    wanted = materialise(wanted, "wanted")  # of known size: few ids don't shuffle all texts
     texts = materialise(texts.join(wanted, "doc", "left_semi"), "candidates")
-    compared = materialise(_similar(met.filter(close).select("a", "b").distinct(), texts, size), "compared-0")
+    compared = materialise(_similar(met.filter(close).select("a", "b").distinct(), texts, size, "0"), "compared-0")
     members = met.select(*BUCKET, F.col("b").alias("doc"), "n_shingles")
     most = F.least("n_common", "common_a")  # no pair has more in common
     close = most >= threshold * (F.col("n_shingles") + F.col("n_a") - most)
     round_no = 0
+    more = compared
     while True:
         links = compared.filter(F.col("similarity") >= threshold)
-        parts = materialise(components(links.select("a", "b")), f"components-{round_no}")
+        if round_no == 0 or not more.filter(F.col("similarity") >= threshold).isEmpty():
+            parts = materialise(components(links.select("a", "b")), f"components-{round_no}")
         placed = _unsettled(members, parts, str(round_no))
         if round_no == 0 and not placed.isEmpty():
             placed = _unsettled(_linkable(placed, texts, size, threshold), parts, "linkable")
         if placed.isEmpty():
             return links, parts
         round_no += 1
+        hubs_now = first_hubs * 2 ** (round_no - 1)
         turn = Window.partitionBy(*BUCKET).orderBy("doc")
         hubs = placed.filter("component <> largest").withColumn("turn", F.row_number().over(turn))
-        hubs = hubs.filter(F.col("turn") <= hubs_a_round).select(
+        hubs = hubs.filter(F.col("turn") <= hubs_now).select(
             *BUCKET,
             F.col("doc").alias("a"),
             F.col("n_shingles").alias("n_a"),
@@ -265,7 +273,7 @@ def near_pairs(
         pairs = placed.join(hubs, BUCKET).filter((F.col("component") != F.col("of_a")) & close)
         pairs = pairs.select(F.least("a", "doc").alias("a"), F.greatest("a", "doc").alias("b")).distinct()
         pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        more = materialise(_similar(pairs, texts, size), f"compared-{round_no}")
+        more = materialise(_similar(pairs, texts, size, str(round_no)), f"compared-{round_no}")
         compared = compared.unionByName(more)
         done = hubs.select(*BUCKET, F.col("a").alias("doc"))
         members = placed.drop("component", "largest").join(done, [*BUCKET, "doc"], "left_anti")
