@@ -9,7 +9,7 @@ from gondola.operators.dedup import keep_first
 from gondola.session import materialise
 
 
-def follow_links(starts: DataFrame, links: DataFrame, max_pages: int = 30) -> DataFrame:
+def follow_links(starts: DataFrame, links: DataFrame, max_pages: int) -> DataFrame:
     """The URLs visited breadth-first, as ``(url, visit_no, hop)``, at most ``max_pages``.
 
     ``starts`` has ``(url, start_no)``, ``links`` has ``(url, next_url)`` with one row per page.

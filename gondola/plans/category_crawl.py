@@ -17,14 +17,16 @@ PAGE = ["category_id", "page_no", "url"]
 
 
 def category_crawl(
-    pages: DataFrame, max_pages: int = 8, base: Column | None = None, store: str = DEFAULT_STORE
+    pages: DataFrame, max_pages: int | None = None, base: Column | None = None, store: str = DEFAULT_STORE
 ) -> DataFrame:
     """Pages ``(category_id, page_no, url, html)`` to first-wins products of all categories.
 
     Records per page are written once; paging rules and rows are then read from that table, so
     pages are parsed once.
     """
-    wanted = first_pages(pages.select(*PAGE, "html"), max_pages)
+    wanted = pages.select(*PAGE, "html")
+    if max_pages is not None:
+        wanted = first_pages(wanted, max_pages)
     found = materialise(category_pages(page_nodes(wanted, *PAGE), PAGE), "category-pages")
     # one short row per category; as a table its size is known to the join
     stop = last_pages(rows_per_page(found, PAGE), "category_id", first_page_counts=False)

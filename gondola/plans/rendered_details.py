@@ -24,7 +24,7 @@ def discovered_urls(index: DataFrame, sitemaps: DataFrame) -> DataFrame:
 
 
 def rendered_details(
-    urls: DataFrame, corpus: DataFrame, source: str, seed: str, target: int = 1000, as_of: Column | None = None
+    urls: DataFrame, corpus: DataFrame, source: str, seed: str, target: int, as_of: Column | None = None
 ) -> DataFrame:
     """Details of a repeatable sample of ``target`` URLs that were fetched."""
     fetched = urls.join(corpus.select("url"), "url", "left_semi")

@@ -19,9 +19,6 @@ from gondola.operators.robots import with_allowed
 from gondola.session import materialise
 from gondola.sources.sitemaps import distinct_urls, index_locations, sitemap_locations
 
-MAX_SITEMAPS = 10
-MAX_URLS = 2000
-
 
 @dataclass(frozen=True)
 class Discovered:
@@ -32,7 +29,7 @@ class Discovered:
 
 
 def discover(
-    index: DataFrame, sitemaps: DataFrame, max_sitemaps: int | None = MAX_SITEMAPS, max_urls: int | None = MAX_URLS
+    index: DataFrame, sitemaps: DataFrame, max_sitemaps: int | None = None, max_urls: int | None = None
 ) -> Discovered:
     """Index ``(host, body)`` and sitemaps ``(sitemap_url, body)`` to URLs."""
     listed = index_locations(index, limit=max_sitemaps).join(sitemaps, "sitemap_url")
@@ -43,18 +40,15 @@ def discover(
     return Discovered(distinct_urls(products, ["ord"], max_urls), collections)
 
 
-def visit(urls: DataFrame, corpus: DataFrame, policies: DataFrame | None, few: bool = True) -> DataFrame:
+def visit(urls: DataFrame, corpus: DataFrame, policies: DataFrame | None) -> DataFrame:
     """Allowed URLs with their details and, where they give no product, the reason.
 
-    ``corpus`` has one HTTP-OK page per URL. With ``few`` URLs (their number is limited) the
-    corpus is cut down to them before parsing. Otherwise all of it is parsed and only the
-    short detail rows are shuffled.
+    ``corpus`` has one HTTP-OK page per URL and is cut down to the allowed URLs before parsing.
     """
     allowed = urls if policies is None else with_allowed(urls, policies).filter("allowed").drop("allowed")
-    if few:
-        # written first, so that its size is known when the join is planned
-        allowed = materialise(allowed, "allowed")
-        corpus = corpus.join(allowed.select("url"), "url", "left_semi")
+    # written first, so that its size is known when the join is planned
+    allowed = materialise(allowed, "allowed")
+    corpus = corpus.join(allowed.select("url"), "url", "left_semi")
     details = detail_records(detail_nodes(corpus, "url"), ["url"])
     return with_reason(allowed.join(details, "url", "left"))
 
@@ -77,7 +71,7 @@ def category_products(
     details: DataFrame,
     base: Column,
     policies: DataFrame | None = None,
-    max_products: int = 200,
+    max_products: int | None = None,
     as_of: Column | None = None,
 ) -> DataFrame:
     """Cards of listing pages ``(category, page_no, url, html)`` as products.
@@ -91,7 +85,8 @@ def category_products(
         found = with_allowed(found, policies).filter("allowed").drop("allowed")
     stop = materialise(last_pages(rows_per_page(found, place), "category"), "last-pages")
     rows = until_stop(cards(found, place, base), stop, "category")
-    rows = first_per_category(rows, "category", ["page_no", "item_no"], max_products)
+    if max_products is not None:
+        rows = first_per_category(rows, "category", ["page_no", "item_no"], max_products)
     allowed = None
     if policies is not None:
         rows, allowed = with_allowed(rows, policies), F.col("allowed")

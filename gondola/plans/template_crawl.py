@@ -21,7 +21,7 @@ def finish(rows: DataFrame) -> DataFrame:
     return once.withColumn("precio_num", price_last_number(PRICE_FIELD)) if PRICE_FIELD in rows.columns else once
 
 
-def template_crawl(pages: DataFrame, starts: DataFrame, template: Template, max_pages: int = 30) -> DataFrame:
+def template_crawl(pages: DataFrame, starts: DataFrame, template: Template, max_pages: int) -> DataFrame:
     """Follow next-page links from ``starts (url, start_no)`` through ``pages (url, html)``."""
     links = next_links(page_nodes(pages, "url"), template.pagination, ["url"])
     visited = materialise(follow_links(starts, links, max_pages).select("url"), "visited")

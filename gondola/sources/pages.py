@@ -40,13 +40,9 @@ def read_saved_page(spark: SparkSession, path: str) -> DataFrame:
 def read_saved_folder(spark: SparkSession, path: str) -> DataFrame:
     """All ``.html`` and ``.htm`` files below a folder. They have no base URL.
 
-    Sort by ``path`` where order matters; files that cannot be read are skipped.
+    Sort by ``path`` where order matters. A file that cannot be read is an error.
     """
-    reader = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", HTML_GLOB)
-        .option("ignoreCorruptFiles", True)
-    )
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", HTML_GLOB)
     found = _with_path(reader.text(path, wholetext=True))
     return found.filter(F.col("path").rlike(r"(?i)\.html?$"))
 

@@ -25,7 +25,7 @@ def _locations(body: Column, shape: str, field: str) -> Column:
     return F.filter(locs, lambda loc: loc.isNotNull())
 
 
-def index_locations(index: DataFrame, host: str = "host", body: str = "body", limit: int | None = 10) -> DataFrame:
+def index_locations(index: DataFrame, host: str = "host", body: str = "body", limit: int | None = None) -> DataFrame:
     """Child sitemaps of each index, in file order.
 
     An index that cannot be read gives the default sitemaps of its host.

@@ -154,7 +154,7 @@ visits AS (
 
 def visited(spark, sf_dir):
     found = discover(*render.sitemap_files(spark, sf_dir), max_urls=None)
-    return materialise(visit(found.products, corpus(spark, sf_dir), policies(spark, "/prod-7"), few=False), "visited")
+    return materialise(visit(found.products, corpus(spark, sf_dir), policies(spark, "/prod-7")), "visited")
 
 
 @query(
