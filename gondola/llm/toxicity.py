@@ -78,9 +78,9 @@ class Lexicon:
         if allowed and (node.word and states[-1] <= allowed or node.start and min(states) <= allowed):
             return True
         for c, child in node.next.items():
-            after = [states[0] + 1]
-            for j, w in enumerate(word):
-                after.append(min(after[-1] + 1, states[j + 1] + 1, states[j] + (w != c)))
+            after = [states[0] + 1] + [most + 1] * len(word)  # too far, except near the diagonal
+            for j in range(max(1, depth + 1 - most), min(len(word), depth + 1 + most) + 1):
+                after[j] = min(after[j - 1] + 1, states[j] + 1, states[j - 1] + (word[j - 1] != c))
             if min(after) <= most and self._run(child, word, after, depth + 1, most):
                 return True
         return False
