@@ -2,8 +2,8 @@
 
 Terms that mark toxic rows are learned from counts over all labelled rows: words, and beginnings of words
 that several words share. They are kept in a trie. A word is matched by running the Levenshtein
-automaton of the word over the trie: its states are the edit distances of the word's beginnings, clipped at
-the limit, and branches on which no state is alive are left. Every match is read in a window of its text: inside
+automaton of the word over the trie: its states tell which beginnings of the word are within no, one or two edits,
+one bit each, and branches on which no state is alive are left. Many words run at once. Every match is read in a window of its text: inside
 quotation marks it counts as quoted, else as abuse. A logistic model weighs the counts.
 """
 
@@ -27,6 +27,7 @@ WINDOW = 80  # characters on either side of a match
 SHORTEST, LONGEST = 4, 7  # of beginnings
 FUZZY_FROM, TWO_EDITS_FROM = 5, 8  # lengths of terms
 FLUSH = 200_000
+SLICE = 4_000_000  # characters whose words are looked up at once
 #: what a count weighs before any row is seen: bias, exact, exact quoted, fuzzy, fuzzy quoted
 PRIOR = np.array([-3.0, 4.0, 0.5, 3.5, 0.3])
 #: and, by the fitted weight of an exact term: exact, exact quoted, fuzzy, fuzzy quoted
@@ -46,9 +47,12 @@ class Lexicon:
     def __init__(self, terms: list[str]) -> None:
         self.root, self.words, self.starts = Node(), set(), set()
         self.heads, self.tails = set(), set()
+        self.letters, self.depth = set(), 0
         for term in terms:
             text = term.rstrip("*")
             node = self.root
+            self.letters.update(text)
+            self.depth = max(self.depth, len(text))
             for c in text:
                 node = node.next.setdefault(c, Node())
             if term.endswith("*"):
@@ -66,24 +70,53 @@ class Lexicon:
     def exact(self, word: str) -> bool:
         return word in self.words or any(word[:n] in self.starts for n in self.start_lengths if n <= len(word))
 
-    def fuzzy(self, word: str) -> bool:
-        """Within one edit of a term (two from TWO_EDITS_FROM characters), the first or last two characters intact."""
-        if len(word) < FUZZY_FROM - 1 or not (word[:2] in self.heads or word[-2:] in self.tails):
-            return False
-        most = 2 if len(word) >= TWO_EDITS_FROM - 2 else 1
-        return self._run(self.root, word, list(range(len(word) + 1)), 0, most)
-
-    def _run(self, node: Node, word: str, states: list[int], depth: int, most: int) -> bool:
-        allowed = 0 if depth < FUZZY_FROM else 1 if depth < TWO_EDITS_FROM else min(most, 2)
-        if allowed and (node.word and states[-1] <= allowed or node.start and min(states) <= allowed):
-            return True
-        for c, child in node.next.items():
-            after = [states[0] + 1] + [most + 1] * len(word)  # too far, except near the diagonal
-            for j in range(max(1, depth + 1 - most), min(len(word), depth + 1 + most) + 1):
-                after[j] = min(after[j - 1] + 1, states[j] + 1, states[j - 1] + (word[j - 1] != c))
-            if min(after) <= most and self._run(child, word, after, depth + 1, most):
-                return True
-        return False
+    def fuzzy(self, words: list[str]) -> set[str]:
+        """Those within one edit of a term (two from TWO_EDITS_FROM characters), the first or last two characters intact.
+
+        The automata of all words run over the trie together; a word leaves a branch once its states are dead.
+        """
+        near = [w for w in words if len(w) >= FUZZY_FROM - 1 and (w[:2] in self.heads or w[-2:] in self.tails)]
+        short, long = [w for w in near if len(w) < TWO_EDITS_FROM - 2], [w for w in near if len(w) >= TWO_EDITS_FROM - 2]
+        return {group[i] for group, most in ((short, 1), (long, 2)) if group for i in self._run(group, most)}
+
+    def _run(self, words: list[str], most: int) -> set[int]:
+        """Places of the words within ``most`` edits. Bit j of state d: the first j characters are within d edits."""
+        seen = [w[: self.depth + 3] for w in words]  # no term reaches further
+        wide = np.uint64 if self.depth < 60 else object
+        ends = np.array([1 << len(w) for w in seen], wide)
+        full = ends | (ends - 1)
+        holds = {c: np.zeros(len(seen), wide) for c in self.letters}
+        by_length: dict[int, list[int]] = {}
+        for i, w in enumerate(seen):
+            by_length.setdefault(len(w), []).append(i)
+        for length, places in by_length.items():
+            codes = np.frombuffer("".join([seen[i] for i in places]).encode("utf-32-le", "surrogatepass"), np.uint32)
+            codes = codes.reshape(-1, length)
+            for c, bits in holds.items():
+                same, found = codes == ord(c), np.zeros(len(places), wide)
+                for j in np.flatnonzero(same.any(axis=0)).tolist():
+                    found |= same[:, j].astype(wide) << j
+                bits[places] = found
+        out: set[int] = set()
+        open_ = [(self.root, 0, np.arange(len(seen)), [np.full(len(seen), (2 << d) - 1, wide) for d in range(most + 1)])]
+        while open_:
+            node, depth, at, states = open_.pop()
+            allowed = 0 if depth < FUZZY_FROM else 1 if depth < TWO_EDITS_FROM else most
+            if allowed and node.word:
+                out.update(at[(states[allowed] & ends[at]) != 0].tolist())
+            if allowed and node.start:
+                out.update(at[states[allowed] != 0].tolist())
+            for c, child in node.next.items():
+                here, after = holds[c][at], []
+                for d, state in enumerate(states):
+                    to = (state & here) << 1
+                    if d:
+                        to |= states[d - 1] | (states[d - 1] << 1) | (after[-1] << 1)
+                    after.append(to & full[at])
+                alive = np.flatnonzero(after[-1] != 0)
+                if len(alive):
+                    open_.append((child, depth + 1, at[alive], [x[alive] for x in after]))
+        return out
 
 
 @dataclass
@@ -101,7 +134,7 @@ def inputs(counts: np.ndarray) -> np.ndarray:
 
 
 class Matcher:
-    """Counts of a text: exact, exact quoted, fuzzy, fuzzy quoted. Each word is classified once."""
+    """Counts of each text: exact, exact quoted, fuzzy, fuzzy quoted. Each word is classified once."""
 
     def __init__(self, lexicon: Lexicon, safe: set[str]) -> None:
         self.lexicon, self.safe = lexicon, safe
@@ -111,27 +144,42 @@ class Matcher:
     def classify(self, words: set[str]) -> None:
         if len(self.seen) > FLUSH:
             self.seen, self.kinds = set(), {}
-        for w in words - self.seen:
-            if self.lexicon.exact(w):
-                self.kinds[w] = 0
-            elif w not in self.safe and self.lexicon.fuzzy(w):
-                self.kinds[w] = 2
-        self.seen |= words
-
-    def counts(self, text: str) -> list[int]:
+        new = words - self.seen
+        exact = {w for w in new if self.lexicon.exact(w)}
+        self.kinds |= dict.fromkeys(exact, 0) | dict.fromkeys(self.lexicon.fuzzy(list(new - exact - self.safe)), 2)
+        self.seen |= new
+
+    def counts(self, texts: list[str]) -> list[list[int]]:
+        return [row for part in slices(texts) for row in self._counts([t.lower() for t in part])]
+
+    def _counts(self, texts: list[str]) -> list[list[int]]:
+        words = [set(WORD.findall(t)) for t in texts]
+        self.classify(set().union(*words))
+        return [self._matches(t) if not self.kinds.keys().isdisjoint(w) else [0, 0, 0, 0] for t, w in zip(texts, words, strict=True)]
+
+    def _matches(self, text: str) -> list[int]:
         out = [0, 0, 0, 0]
-        text = text.lower()
-        words = set(WORD.findall(text))
-        self.classify(words)
-        if not self.kinds.keys().isdisjoint(words):
-            for m in WORD.finditer(text):
-                kind = self.kinds.get(m[0])
-                if kind is not None:
-                    before, after = text[max(0, m.start() - WINDOW) : m.start()], text[m.end() : m.end() + WINDOW]
-                    out[kind + quoted(before, after)] += 1
+        for m in WORD.finditer(text):
+            kind = self.kinds.get(m[0])
+            if kind is not None:
+                before, after = text[max(0, m.start() - WINDOW) : m.start()], text[m.end() : m.end() + WINDOW]
+                out[kind + quoted(before, after)] += 1
         return out
 
 
+def slices(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in turn, as many at once as have SLICE characters together; a longer text is by itself."""
+    part, size = [], 0
+    for text in texts:
+        if part and size + len(text) > SLICE:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    if part:
+        yield part
+
+
 def quoted(before: str, after: str) -> bool:
     """Whether the last mark before opens a quotation that a mark after closes; line ends end quotations."""
     before, after = before.rpartition("\n")[2], after.partition("\n")[0]
@@ -197,7 +245,7 @@ def _lookalikes(lexicon):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Lexicon = lexicon.value
         for part in parts:
-            words = [w for w in part.column("word").to_pylist() if not known.exact(w) and known.fuzzy(w)]
+            words = list(known.fuzzy([w for w in part.column("word").to_pylist() if not known.exact(w)]))
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string())], ["word"])
 
     return run
@@ -287,7 +335,7 @@ def _counted(matcher, names: list[str]):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Matcher(matcher.value.lexicon, matcher.value.safe)
         for part in parts:
-            found = [m.counts(t) for t in part.column("text").to_pylist()]
+            found = m.counts(part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + [pa.array(found, pa.list_(pa.int32()))], [*names, "counts"])
 
     return run
@@ -298,7 +346,7 @@ def _scored(model):
         known: Model = model.value
         m = Matcher(known.lexicon, known.safe)
         for part in parts:
-            counts = np.array([m.counts(t) for t in part.column("text").to_pylist()], float).reshape(-1, 4)
+            counts = np.array(m.counts(part.column("text").to_pylist()), float).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(known.score(counts))]
                 + [pa.array(counts[:, k].astype(np.int64)) for k in range(4)],

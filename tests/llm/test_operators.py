@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import random
 import re
 import zlib
 
@@ -254,3 +255,39 @@ def test_main_text(spark):
     assert texts[1] == "A title & more\nFirst words go on.\nTi."
     assert texts[2] == texts[3] == "" and texts[4] == ("word " * 40).strip()
     assert len(got) == 5 and all(r.n_chars == len(r.text) for r in got)
+
+
+def test_fuzzy_terms():
+    """Against edit distances in full."""
+
+    def distance(a: str, b: str) -> int:
+        row = list(range(len(b) + 1))
+        for i, c in enumerate(a):
+            old, row = row, [i + 1]
+            for j, d in enumerate(b):
+                row.append(min(row[j] + 1, old[j + 1] + 1, old[j] + (c != d)))
+        return row[-1]
+
+    def wanted(word: str) -> bool:
+        near = any(word[:2] == t[:2] or not t.endswith("*") and word[-2:] == t[-2:] for t in terms)
+        for term in terms if near and len(word) >= 4 else []:
+            text = term.rstrip("*")
+            most = min(0 if len(text) < 5 else 1 if len(text) < 8 else 2, 1 if len(word) < 6 else 2)
+            parts = [word[:n] for n in range(len(word) + 1)] if term.endswith("*") else [word]
+            if most and any(distance(text, x) <= most for x in parts):
+                return True
+        return False
+
+    terms = ["idiot", "pathetic", "scum", "wörthless", "disgus*", "abominab*"]
+    edits = random.Random(3)
+    words = ["", "a", "scu", "😀diot", "x" * 200, "disgus" + "t" * 100]
+    for _ in range(600):
+        word = list(edits.choice(terms).rstrip("*"))
+        for _ in range(edits.randrange(4)):
+            k = edits.randrange(len(word) + 1)
+            word[k : k + edits.randrange(2)] = edits.choice(["", "e", "t", "ö"])
+        words.append("".join(word) + edits.choice(["", "s", "ting"]))
+    assert toxicity.Lexicon(terms).fuzzy(words) == {w for w in words if wanted(w)}
+    terms = ["ab" * 40, "cd" * 20 + "*"]  # longer than a machine word
+    words = ["ab" * 39 + "a", "ab" * 38, "cd" * 19 + "xd" + "z" * 90, "cd" * 18]
+    assert toxicity.Lexicon(terms).fuzzy(words) == {w for w in words if wanted(w)}
