@@ -33,5 +33,5 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a result needed more than once and read it back; it outlives lost executors."""
     path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
