@@ -12,13 +12,13 @@ def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest node) for every node of the edges (a, b), two columns of longs.
 
     Each step writes its edges, so lineage stays short; the minimum per node is summed up before the
-    shuffle, and joins split the edges of a hot node. Loops (a = b) are left out.
+    shuffle, and joins split the edges of a hot node. Loops (a = b) are left out. Steps end once the edges are stars
+    around smallest nodes, which no step changes.
     """
     edges = materialise(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges"
     )
-    mark = _mark(edges)
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
         low = materialise(low, "low")  # written, so that the join may split a hot node
@@ -30,16 +30,15 @@ def components(edges: DataFrame) -> DataFrame:
             small.filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
         )
         edges = materialise(small.distinct(), "small-star")
-        new = _mark(edges)
-        if new == mark:
-            break
-        mark = new
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(
-        edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a") % 1_000_003)).first()
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node a of the distinct edges (a > b) has one b, and no b is an a."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
     )
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.filter("up > 1 OR up = 1 AND down = 1").isEmpty()

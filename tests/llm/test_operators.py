@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gondola.llm import bagminhash, decontaminate, exact_dedup, language, line_dedup, main_text, packing, phrases, quality, toxicity
+from gondola.llm import bagminhash, decontaminate, exact_dedup, graph, language, line_dedup, main_text, packing, phrases, quality, toxicity
 from gondola.llm.queries import tokenizer_path
 from tests.conftest import SF_SMALL
 
@@ -291,3 +291,16 @@ def test_fuzzy_terms():
     terms = ["ab" * 40, "cd" * 20 + "*"]  # longer than a machine word
     words = ["ab" * 39 + "a", "ab" * 38, "cd" * 19 + "xd" + "z" * 90, "cd" * 18]
     assert toxicity.Lexicon(terms).fuzzy(words) == {w for w in words if wanted(w)}
+
+
+def test_components(spark):
+    rng = np.random.default_rng(5)
+    edges = {(int(a), int(b)) for a, b in rng.integers(0, 60, (35, 2))} | {(k, k + 1) for k in range(100, 130)} | {(200, 9), (7, 7)}
+    parent = {n: n for e in edges for n in e if e[0] != e[1]}
+    for a, b in edges:
+        if a != b:
+            low, high = sorted((parent[a], parent[b]))
+            parent = {n: low if p == high else p for n, p in parent.items()}
+    table = spark.createDataFrame([*edges, *edges], "a long, b long")
+    assert {r.node: r.component for r in graph.components(table).collect()} == parent
+    assert graph.components(table.limit(0)).count() == 0
