@@ -1,6 +1,5 @@
 """Robots, sitemaps, paging, duplicates, walks, summaries, audit."""
 
-import random
 import urllib.parse
 import urllib.robotparser
 
@@ -166,28 +165,25 @@ def test_top_up(spark, done, target, want):
     assert got == {f"f{i}" for i in range(done)} | {n for c, n in rows if c in want}
 
 
-def breadth_first(starts, links, cap):
-    todo, seen, order = list(starts), set(), []
-    while todo and len(order) < cap:
-        u = todo.pop(0)
-        if u in seen:
-            continue
-        seen.add(u)
-        order.append(u)
-        if links.get(u) and links[u] not in seen:
-            todo.append(links[u])
-    return order
+#: starts, links, and the visits as "url/hop", all written by hand
+WALKS = [
+    ("a b", {"a": "c", "b": "c", "c": "d", "d": "a"}, "a/0 b/0 c/1 d/2"),  # two ways to c, and a ring
+    ("b a b", {"a": "a1", "b": "b1", "a1": "a2", "b1": None}, "b/0 a/0 b1/1 a1/1 a2/2"),  # starts in their order, one of them twice
+    ("a", {"a": "a"}, "a/0"),  # a link to itself
+    ("a x", {"a": "gone"}, "a/0 x/0 gone/1"),  # pages without a row are visited, and end there
+    ("a c", {"a": "b", "b": "c", "c": "e", "e": "f"}, "a/0 c/0 b/1 e/1 f/2"),  # a start that is also met on the way
+    ("p", {"p": "q", "q": "r", "r": "s", "s": "t", "t": "q"}, "p/0 q/1 r/2 s/3 t/4"),  # a chain into a ring
+]
 
 
 def test_walk(spark):
-    rng = random.Random(3)
-    for cap in (1, 4, 30):
-        links = {f"u{i}": rng.choice([None, *[f"u{rng.randrange(60)}"] * 5]) for i in range(50)}
-        starts = [f"u{rng.randrange(50)}" for _ in range(6)]
-        s = spark.createDataFrame([(u, i) for i, u in enumerate(starts)], "url string, start_no int")
-        e = spark.createDataFrame(list(links.items()), "url string, next_url string")
-        got = [r.url for r in follow_links(s, e, cap).orderBy("visit_no").collect()]
-        assert got == breadth_first(starts, links, cap)
+    for cap in (2, 30):
+        for starts, links, visits in WALKS:
+            s = spark.createDataFrame([(u, i) for i, u in enumerate(starts.split())], "url string, start_no int")
+            e = spark.createDataFrame(list(links.items()), "url string, next_url string")
+            got = follow_links(s, e, cap).orderBy("visit_no").collect()
+            assert [f"{r.url}/{r.hop}" for r in got] == visits.split()[:cap]
+            assert [r.visit_no for r in got] == list(range(1, len(got) + 1))
 
 
 def test_quantiles(spark, monkeypatch):
