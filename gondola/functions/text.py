@@ -10,14 +10,11 @@ from gondola.functions.columns import as_col, falsy_to_null
 # Unicode white space, including the four ASCII separators.
 WHITE_SPACE = r"(?U)[\s\x1c-\x1f]+"
 
-# Pack-size patterns, tried in this order.
+# Pack-size patterns, tried in this order. Those that the first one always precedes are left out.
 PRESENTATION_PATTERNS = [
     r"(\d+\s*(?:kg|g|ml|l|un|und|unidades?))",
-    r"(\d+\s*x\s*\d+\s*(?:kg|g|ml|l))",
     r"(pack\s*\d+)",
     r"(caja\s*\d+)",
-    r"(botella\s*\d+\s*ml)",
-    r"(bolsa\s*\d+\s*g)",
 ]
 DEFAULT_PRESENTATION = "Unidad"
 
