@@ -22,10 +22,15 @@ from pyspark.sql import functions as F
 from gondola.session import materialise
 
 WORD = re.compile(r"\w+")
+MASK = r"*!@$#%&+|€£"  # characters that stand for letters inside a word
+MASKS = re.compile(f"[{re.escape(MASK)}]")
+MASKED = re.compile(rf"\b\w++(?:[{re.escape(MASK)}]++\w++)+")
 QUOTES = re.compile("[\"“”„«»]")
 WINDOW = 80  # characters on either side of a match
 SHORTEST, LONGEST = 4, 7  # of beginnings
 FUZZY_FROM, TWO_EDITS_FROM = 5, 8  # lengths of terms
+ONE_EDIT_FROM = 4  # of whole words; a beginning of four letters with an edit would be any word that shares three
+AT_ONCE = 50_000  # words that run over the trie together
 FLUSH = 200_000
 SLICE = 4_000_000  # characters whose words are looked up at once
 #: what a count weighs before any row is seen: bias, exact, exact quoted, fuzzy, fuzzy quoted
@@ -75,11 +80,26 @@ class Lexicon:
 
         The automata of all words run over the trie together; a word leaves a branch once its states are dead.
         """
-        near = [w for w in words if len(w) >= FUZZY_FROM - 1 and (w[:2] in self.heads or w[-2:] in self.tails)]
-        short, long = [w for w in near if len(w) < TWO_EDITS_FROM - 2], [w for w in near if len(w) >= TWO_EDITS_FROM - 2]
-        return {group[i] for group, most in ((short, 1), (long, 2)) if group for i in self._run(group, most)}
+        return self._within([w for w in words if w[:2] in self.heads or w[-2:] in self.tails], FUZZY_FROM)
 
-    def _run(self, words: list[str], most: int) -> set[int]:
+    def near(self, words: list[str]) -> set[str]:
+        """Those within one edit of a term (two from TWO_EDITS_FROM characters), wherever the edits are.
+
+        Whole words have edits from ONE_EDIT_FROM characters, beginnings from FUZZY_FROM.
+        """
+        return self._within(words, ONE_EDIT_FROM)
+
+    def _within(self, words: list[str], one_from: int) -> set[str]:
+        fit = [w for w in words if len(w) >= one_from - 1]
+        short, long = [w for w in fit if len(w) < TWO_EDITS_FROM - 2], [w for w in fit if len(w) >= TWO_EDITS_FROM - 2]
+        out: set[str] = set()
+        for group, most in ((short, 1), (long, 2)):
+            for start in range(0, len(group), AT_ONCE):
+                part = group[start : start + AT_ONCE]
+                out.update(part[i] for i in self._run(part, most, one_from))
+        return out
+
+    def _run(self, words: list[str], most: int, one_from: int) -> set[int]:
         """Places of the words within ``most`` edits. Bit j of state d: the first j characters are within d edits."""
         seen = [w[: self.depth + 3] for w in words]  # no term reaches further
         wide = np.uint64 if self.depth < 60 else object
@@ -101,10 +121,10 @@ class Lexicon:
         open_ = [(self.root, 0, np.arange(len(seen)), [np.full(len(seen), (2 << d) - 1, wide) for d in range(most + 1)])]
         while open_:
             node, depth, at, states = open_.pop()
-            allowed = 0 if depth < FUZZY_FROM else 1 if depth < TWO_EDITS_FROM else most
+            allowed = 0 if depth < one_from else 1 if depth < TWO_EDITS_FROM else most
             if allowed and node.word:
                 out.update(at[(states[allowed] & ends[at]) != 0].tolist())
-            if allowed and node.start:
+            if depth >= FUZZY_FROM and node.start:
                 out.update(at[states[allowed] != 0].tolist())
             for c, child in node.next.items():
                 here, after = holds[c][at], []
@@ -146,14 +166,14 @@ class Matcher:
             self.seen, self.kinds = set(), {}
         new = words - self.seen
         exact = {w for w in new if self.lexicon.exact(w)}
-        self.kinds |= dict.fromkeys(exact, 0) | dict.fromkeys(self.lexicon.fuzzy(list(new - exact - self.safe)), 2)
+        self.kinds |= dict.fromkeys(exact, 0) | dict.fromkeys(self.lexicon.near(list(new - exact - self.safe)), 2)
         self.seen |= new
 
     def counts(self, texts: list[str]) -> list[list[int]]:
         return [row for part in slices(texts) for row in self._counts([t.lower() for t in part])]
 
     def _counts(self, texts: list[str]) -> list[list[int]]:
-        words = [set(WORD.findall(t)) for t in texts]
+        words = [words_of(t) for t in texts]
         self.classify(set().union(*words))
         return [self._matches(t) if not self.kinds.keys().isdisjoint(w) else [0, 0, 0, 0] for t, w in zip(texts, words, strict=True)]
 
@@ -162,11 +182,28 @@ class Matcher:
         for m in WORD.finditer(text):
             kind = self.kinds.get(m[0])
             if kind is not None:
-                before, after = text[max(0, m.start() - WINDOW) : m.start()], text[m.end() : m.end() + WINDOW]
-                out[kind + quoted(before, after)] += 1
+                out[kind + in_quotes(text, m)] += 1
+        for m in masked(text):
+            kind = self.kinds.get(m[0])
+            if kind is not None and self.kinds.keys().isdisjoint(WORD.findall(m[0])):  # else its pieces have counted
+                out[kind + in_quotes(text, m)] += 1
         return out
 
 
+def masked(text: str) -> Iterator[re.Match]:
+    """Words with masks inside, such as id!ot or st*pid."""
+    return MASKED.finditer(text) if MASKS.search(text) else iter(())
+
+
+def words_of(text: str) -> set[str]:
+    """The words of a text; a masked word is one too, beside its pieces."""
+    return set(WORD.findall(text)).union(m[0] for m in masked(text))
+
+
+def in_quotes(text: str, m: re.Match) -> bool:
+    return quoted(text[max(0, m.start() - WINDOW) : m.start()], text[m.end() : m.end() + WINDOW])
+
+
 def slices(texts: list[str]) -> Iterator[list[str]]:
     """Texts in turn, as many at once as have SLICE characters together; a longer text is by itself."""
     part, size = [], 0
@@ -224,7 +261,7 @@ def _word_counts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     low, high = Counter(), Counter()
     for part in parts:
         for y, text in zip(part.column("y").to_pylist(), part.column("text").to_pylist(), strict=True):
-            (high if y else low).update(set(WORD.findall(text.lower())))
+            (high if y else low).update(words_of(text.lower()))
             if len(low) + len(high) > FLUSH:
                 yield out()
                 low, high = Counter(), Counter()
@@ -234,8 +271,8 @@ def _word_counts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _terms_of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in parts:
         for pick, text in zip(part.column("pick").to_pylist(), part.column("text").to_pylist(), strict=True):
-            words = set(WORD.findall(text.lower()))
-            starts = {w[:n] + "*" for w in words for n in range(SHORTEST, min(LONGEST, len(w) - 1) + 1)}
+            words = words_of(text.lower())
+            starts = {w[:n] + "*" for w in words if not MASKS.search(w) for n in range(SHORTEST, min(LONGEST, len(w) - 1) + 1)}
             terms = list(words | starts)
             if terms:
                 yield pa.RecordBatch.from_arrays([pa.array([pick] * len(terms)), pa.array(terms, pa.string())], ["pick", "term"])
@@ -245,7 +282,7 @@ def _lookalikes(lexicon):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Lexicon = lexicon.value
         for part in parts:
-            words = list(known.fuzzy([w for w in part.column("word").to_pylist() if not known.exact(w)]))
+            words = list(known.near([w for w in part.column("word").to_pylist() if not known.exact(w)]))
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string())], ["word"])
 
     return run
@@ -298,7 +335,7 @@ def train(
     odds = F.log((F.col("high") + 0.5) / (totals[1] + 1)) - F.log((F.col("low") + 0.5) / (totals[0] + 1))
     lengths = F.sequence(F.lit(SHORTEST), F.least(F.lit(LONGEST), F.length("word") - 1))
     starts = (
-        words.filter(F.length("word") > SHORTEST)
+        words.filter((F.length("word") > SHORTEST) & ~F.col("word").rlike(MASKS.pattern))
         .select(F.explode(lengths).alias("n"), "word", "low", "high")
         .groupBy(F.expr("concat(substring(word, 1, n), '*')").alias("term"))
         .agg(F.sum("low").alias("low"), F.sum("high").alias("high"), F.sum(F.expr("if(high > 0, 1, 0)")).alias("n_words"))

@@ -293,6 +293,48 @@ def test_fuzzy_terms():
     assert toxicity.Lexicon(terms).fuzzy(words) == {w for w in words if wanted(w)}
 
 
+def test_near_terms():
+    """Against edit distances in full, wherever the edits are."""
+
+    def distance(a: str, b: str) -> int:
+        row = list(range(len(b) + 1))
+        for i, c in enumerate(a):
+            old, row = row, [i + 1]
+            for j, d in enumerate(b):
+                row.append(min(row[j] + 1, old[j + 1] + 1, old[j] + (c != d)))
+        return row[-1]
+
+    def wanted(word: str) -> bool:
+        for term in terms:
+            text = term.rstrip("*")
+            most = 2 if len(text) >= 8 else 1 if len(text) >= (5 if term.endswith("*") else 4) else 0
+            parts = [word[:n] for n in range(len(word) + 1)] if term.endswith("*") else [word]
+            if most and any(distance(text, x) <= most for x in parts):
+                return True
+        return False
+
+    terms = ["idiot", "worthless", "scum", "wörthless", "ass", "disgus*", "abominab*", "dumb*"]
+    words = ["w0rthle5s", "d1sgusting", "ebominable", "id!ot", "scvm", "scm", "dvmbo", "as", "x" * 200]
+    edits = random.Random(4)
+    for _ in range(2000):
+        word = list(edits.choice(terms).rstrip("*"))
+        for _ in range(edits.randrange(4)):
+            k = edits.randrange(len(word) + 1)
+            word[k : k + edits.randrange(2)] = edits.choice(["", "e", "t", "ö", "*"])
+        words.append("".join(word) + edits.choice(["", "s", "ting"]))
+    near = toxicity.Lexicon(terms).near(words)
+    assert near == {w for w in words if wanted(w)}
+    assert {"w0rthle5s", "d1sgusting", "ebominable", "id!ot", "scvm", "scm"} <= near and "dvmbo" not in near
+
+
+def test_masked_terms():
+    matcher = toxicity.Matcher(toxicity.Lexicon(["idiot", "stupid", "scum", "disgus*"]), {"scam"})
+    texts = ["id!ot", "a st*pid and w*rthy", 'he said "id!ot" once', "idiot@stupid", "wow! * @ end*", "scam sc*m", "D1sgusting$x"]
+    assert matcher.counts(texts) == [
+        [0, 0, 1, 0], [0, 0, 1, 0], [0, 0, 0, 1], [2, 0, 0, 0], [0, 0, 0, 0], [0, 0, 1, 0], [0, 0, 1, 0],
+    ]
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     edges = {(int(a), int(b)) for a, b in rng.integers(0, 60, (35, 2))} | {(k, k + 1) for k in range(100, 130)} | {(200, 9), (7, 7)}
