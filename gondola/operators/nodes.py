@@ -7,6 +7,7 @@ extraction needs no shuffle. The subtree of the node at index ``i`` is ``i+1 ..
 
 from __future__ import annotations
 
+import re
 import sys
 from collections import Counter
 from collections.abc import Iterator
@@ -32,6 +33,9 @@ RAW_TEXT = "#raw"  # text of script and style: not part of the page text
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = frozenset(["script", "style"])
 
+# a number of so many digits is more than Python reads; eight say as much
+LONG_REFERENCE = re.compile(r"&#(\d{4000,})")
+
 # output batches are cut at this many nodes, to bound the memory of a Python worker
 NODES_PER_BATCH = 100_000
 
@@ -52,7 +56,8 @@ class _NodeBuffer(HTMLParser):
     """Collects the nodes of many pages column by column.
 
     Broken markup follows one rule: void tags never open; an end tag closes the nearest open
-    match and everything above it; what is never closed ends with the document.
+    match and everything above it; what is never closed ends with the document. A declaration that
+    the tokenizer refuses is text, up to its end or the next tag, and the page goes on behind it.
     """
 
     def __init__(self) -> None:
@@ -76,19 +81,16 @@ class _NodeBuffer(HTMLParser):
         self.open_tags: Counter[str] = Counter()
         self.pending: list[str] = []
         self._open(DOCUMENT, [])
-        error = None
-        try:
-            self.reset()
-            self.feed(html or "")
-            self.close()
-        except (AssertionError, ValueError) as e:  # markup the tokenizer gives up on
-            error = f"{type(e).__name__}: {e}"
+        self.error: str | None = None
+        self.reset()
+        self.feed(LONG_REFERENCE.sub(lambda m: "&#" + (m[1].lstrip("0")[:8] or "0"), html or ""))
+        self.close()
         self._end_text()
         end = len(self.tag) - self.base - 1
         for i in self.stack:
             self.last[self.base + i] = end
         self.page_starts.append(len(self.tag))
-        self.errors.append(error)
+        self.errors.append(self.error)
 
     def _add(self, tag: str, text: str | None) -> int:
         at = len(self.tag) - self.base
@@ -131,6 +133,16 @@ class _NodeBuffer(HTMLParser):
             self.last[self.base + i] = end
             self.open_tags[closed] -= 1
 
+    def parse_html_declaration(self, i: int) -> int:
+        try:
+            return super().parse_html_declaration(i)
+        except AssertionError as e:  # such as <![foo[x]]>
+            self.error = self.error or f"{type(e).__name__}: {e}"
+        ends = [k for k in (self.rawdata.find(">", i) + 1, self.rawdata.find("<", i + 1)) if k > 0]
+        end = min(ends, default=len(self.rawdata))
+        self.handle_data(self.rawdata[i:end])
+        return end
+
     def updatepos(self, i: int, j: int) -> int:
         return j  # line numbers are not needed
 
@@ -189,7 +201,7 @@ def _pages_to_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def page_nodes(pages: DataFrame, *keep: str, html: str = "html") -> DataFrame:
-    """One row per page with its ``nodes`` array, and ``parse_error`` where markup was refused.
+    """One row per page with its ``nodes`` array, and ``parse_error`` where markup was refused and read as text.
 
     ``keep`` names the columns to carry along; the page text itself is dropped. Wide columns
     that are not named never reach Python.

@@ -3,8 +3,11 @@
 from pyspark.sql import functions as F
 
 from gondola.operators import select as S
+from gondola.operators.cards import card_pages, cards
+from gondola.operators.details import jsonld_details
 from gondola.operators.nodes import element_rows
 from gondola.operators.select import page_scope, sel
+from gondola.operators.template import next_links
 from tests.helpers import nodes_of, plan, values
 
 
@@ -42,6 +45,21 @@ def test_refused_markup_stays_in_its_page(spark):
     assert [r.parse_error is not None for r in rows] == [False, True, False, False, False]
 
 
+def test_nothing_is_lost_behind_refused_markup(spark):
+    item = '<div class="product"><h3>{0}</h3><a class="next" href="/{0}">x</a></div>'
+    bad = ["<![foo[x]]>", "<![foo[<b>x</b>]]>", "<![ ]>", "<![foo", "<![1", "&#" + "9" * 5000 + ";", "&#" + "0" * 5000 + "65;"]
+    script = '<script type="application/ld+json">{"@type": "Product", "name": "n"}</script>'
+    nodes = nodes_of(spark, *[item.format(1) + b + item.format(2) + script for b in bad], "<p>a<![foo[x]]> b &amp; c</p>d")
+    rows = nodes.select("page_id", S.find_all(page_scope(), sel("h3")).alias("names"), "parse_error").orderBy("page_id").collect()
+    assert [len(r.names) for r in rows] == [2] * len(bad) + [0]
+    assert [r.parse_error is not None for r in rows] == [True] * 5 + [False, False, True]
+    assert values(nodes.select("page_id", S.text(F.lit(0)).alias("t")))[-1] == "a<![foo[x]]> b & cd"
+    found = cards(card_pages(nodes, ["page_id"]), ["page_id"], F.lit("https://h.com"))
+    assert found.filter("name = '2'").count() == len(bad)
+    assert jsonld_details(nodes, ["page_id"]).filter("name = 'n'").count() == len(bad)
+    assert next_links(nodes, [sel("a", equals={"href": "/2"})], ["url"]).filter("next_url is not null").count() == len(bad)
+
+
 def test_batches_are_cut_and_whole(spark, monkeypatch):
     from gondola.operators import nodes as N
 

@@ -74,7 +74,8 @@ def pages_of(items: DataFrame, card: Column, head: Column | str, tail: str, betw
     )
 
 
-HEAD = "<!DOCTYPE html><html><head><title>Lista</title><style>.price{x:1}</style></head><body><!-- <a class='pod-link'> -->"
+# pages begin with a declaration that the tokenizer refuses
+HEAD = "<!DOCTYPE html><html><head><title>Lista</title><![foo[x]]><style>.price{x:1}</style></head><body><!-- <a class='pod-link'> -->"
 TAIL = "</body></html>"
 
 
@@ -180,7 +181,7 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     crumbs = F.when(k % 10 == 3, "").otherwise(fmt('<ul class="breadcrumbs"><li><a>Inicio</a><li><a>~</a><li><a> </a></ul>', "kind"))
     images = F.repeat(F.lit("<img src=x>"), (k % 4).cast("int"))
     stock = F.when(k % 11 == 0, "<b>AGOTADO</b>").otherwise("")
-    html = F.concat(F.lit("<html><body>"), jsonld, heading, fmt('<p class="brand">~</p>', "brand"), sku, spans, crumbs, images, stock, F.lit(TAIL))
+    html = F.concat(F.lit("<html><![foo[x]]><body>"), jsonld, heading, fmt('<p class="brand">~</p>', "brand"), sku, spans, crumbs, images, stock, F.lit(TAIL))
     return parts(spark, sf_dir).select(k.alias("page_id"), detail_url().alias("url"), html.alias("html"))
 
 
