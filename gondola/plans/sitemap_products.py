@@ -1,4 +1,4 @@
-"""Sitemaps to audited products, topped up from category listings."""
+"""Sitemaps to audited products, and category listings to products; ``sitemap_run`` puts them together."""
 
 from __future__ import annotations
 

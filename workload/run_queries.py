@@ -20,6 +20,7 @@ from gondola.plans.sitemap_products import (
     lookup_details,
     visit,
 )
+from gondola.plans.sitemap_run import sitemap_run as run_sitemaps
 from gondola.plans.template_crawl import template_crawl as crawl_by_template
 from gondola.plans.template_crawl import template_pages
 from gondola.schemas import LISTING_SCHEMA
@@ -243,6 +244,52 @@ def top_up(spark, sf_dir):
     return topped_up(first, collections, "collection", 60)
 
 
+RUN_COLUMNS = PRODUCT_COLUMNS + ", images_count, availability"
+
+
+@query(
+    f"""
+WITH {SLOTS}, {CARD}{AUDIT.removeprefix(DETAIL)},
+first_phase AS (
+  SELECT 0 AS turn, host, sitemap_no, k AS col, 0 AS page_no, 0 AS item_no, name, price_online, price_regular, brand,
+         'sitemap_producto' AS category, coalesce(subcategory, 'Sin subcategoria') AS subcategory, sku, size || ' kg' AS presentation, url,
+         images_count, availability
+  FROM visits WHERE reason IS NULL ORDER BY host, sitemap_no, k LIMIT 1500),
+shelf AS (
+  SELECT 1 AS turn, r.host, r.sitemap_no, r.k AS col, CAST(c.page_no AS INTEGER) AS page_no, c.item_no, c.name, c.price AS price_online,
+         coalesce(d.price_regular, 0.0) AS price_regular, coalesce(d.brand, c.card_brand, 'Wong') AS brand, 'col-' || r.k AS category,
+         coalesce(d.subcategory, 'Sin subcategoria') AS subcategory,
+         coalesce(d.sku, c.card_sku,
+           'WONG_' || upper(substr(regexp_replace(c.name, '[^A-Za-z0-9_]+', '', 'g'), 1, 10)) || '_' ||
+           (CAST('0x' || substr(md5(c.url), 1, 7) AS INTEGER) % 9000 + 1000)) AS sku,
+         c.size || ' kg' AS presentation, c.url, CAST(NULL AS INTEGER) AS images_count, CAST(NULL AS VARCHAR) AS availability
+  FROM cards c JOIN reached r ON r.k = c.category * 50 + 4
+  LEFT JOIN (SELECT * FROM details WHERE NOT bad_price AND k % 13 <> 4 AND NOT starts_with('/prod-' || k || '/p', '/prod-7')) d
+    ON c.k % 12 > 1 AND c.k = d.k
+  WHERE c.category % 2 = 0 OR c.page_no < 3),
+sizes AS (SELECT host, sitemap_no, col, count(*) AS n FROM shelf GROUP BY ALL),
+totals AS (
+  SELECT col, (SELECT count(*) FROM first_phase)
+         + coalesce(sum(n) OVER (ORDER BY host, sitemap_no, col ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM sizes),
+run AS (
+  SELECT *, md5(name || '|' || sku) AS hash_id, '2024-05-06' AS extracted_on,
+         CASE WHEN price_regular > price_online THEN round((price_regular - price_online) / price_regular * 100, 2) ELSE 0.0 END AS discount_percent
+  FROM (SELECT * FROM first_phase UNION ALL SELECT shelf.* FROM shelf JOIN totals USING (col) WHERE before < 1500))
+SELECT {RUN_COLUMNS} FROM run
+QUALIFY row_number() OVER (PARTITION BY hash_id ORDER BY turn, host, sitemap_no, col, page_no, item_no) = 1"""
+)
+def sitemap_run(spark, sf_dir):
+    """The whole sitemap run, topped up from collections to 1,500: S5 S6 F4 T7 J2 F8 L1 X10 W1 O2 F11 G3 S8 S10 S11"""
+    pages = render.category_card_pages(spark, sf_dir)
+    pages = pages.withColumn("category", F.concat(F.lit("col-"), (F.col("category") * 50 + 4).cast("string")))
+    path = fresh_dir(spark, "run")
+    products, _ = run_sitemaps(
+        *render.sitemap_files(spark, sf_dir), corpus(spark, sf_dir), pages, F.lit(SHOP), 1500, policies(spark, "/prod-7"), as_of=as_of(), path=path
+    )
+    return spark.read.schema(products.schema).parquet(f"{path}/products.parquet").select(*RUN_COLUMNS.split(", "))
+
+
 @query(
     f"""
 WITH {PARTS}, {EXACT}, {SITEMAPS},
