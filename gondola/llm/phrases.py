@@ -6,7 +6,8 @@ A window is a number of consecutive words of one text; it recurs if its words al
 2. Confirmation. Windows whose anchor occurs more than once are counted in full, by two hashes of their words.
    Nearly all of them recur, so only those that don't are named. Runs of the others are a text's passages.
 3. Location. Texts are streamed in shards. Each shard compiles an Aho-Corasick automaton over words from the
-   passages confirmed for its texts and reads every text through it; all that the automaton finds goes.
+   passages confirmed for its texts and reads every text through it; all that the automaton finds goes. The hashes
+   of 2 have located these passages already: the automaton confirms them word by word.
 Texts that are equal as a whole are counted once with their number, so a group of copies costs one text.
 """
 
