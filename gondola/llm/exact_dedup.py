@@ -1,8 +1,8 @@
 """Exact duplicates by progressive refinement, in DataFrame functions alone.
 
 Texts are equal when they are identical after deleting white space ([\\x20\\x09-\\x0D]). Rows are
-told apart by what costs least: first the length, then a hash of the beginning; only rows that
-share both with another row have their full content hashed and compared.
+told apart by what costs least: the length and a hash of the beginning, taken in one pass; only rows
+that share both with another row have their full content compared, by its hash.
 """
 
 from __future__ import annotations
@@ -45,12 +45,7 @@ def exact_dedup(
     )
     sized = rows.select(F.length("bare").alias("size"), F.xxhash64(F.substring("bare", 1, prefix)).alias("beginning"))
     starts = materialise(sized.groupBy("size", "beginning").agg(F.count("*").alias("n")), "starts")
-    lengths = starts.groupBy("size").agg(F.sum("n").alias("n")).filter("n > 1").select("size")
-    doubtful = (
-        starts.filter("n > 1")
-        .join(lengths, "size", "left_semi")
-        .select("size", "beginning", F.lit(True).alias("doubtful"))
-    )
+    doubtful = starts.filter("n > 1").select("size", "beginning", F.lit(True).alias("doubtful"))
     read = (
         rows.withColumn("size", F.length("bare"))
         .withColumn("beginning", F.xxhash64(F.substring("bare", 1, prefix)))

@@ -293,6 +293,15 @@ def test_fuzzy_terms():
     assert toxicity.Lexicon(terms).fuzzy(words) == {w for w in words if wanted(w)}
 
 
+def test_exact_dedup_reads_lengths_and_beginnings_once(spark, monkeypatch):
+    written = {}
+    monkeypatch.setattr(exact_dedup, "materialise", lambda df, name: written.setdefault(name, df))
+    docs = spark.createDataFrame([(1, "a b"), (2, "ab"), (3, "cd"), (4, None)], "doc_id long, text string")
+    found = exact_dedup.exact_dedup(docs)
+    assert {r.doc_id: (r.keep_id, r.group_size) for r in found.collect()} == {1: (1, 2), 2: (1, 2), 3: (3, 1), 4: (4, 1)}
+    assert written["digests"]._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
 def test_near_terms():
     """Against edit distances in full, wherever the edits are."""
 
