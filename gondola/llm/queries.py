@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.llm import (
+    alignment,
     bagminhash,
     decontaminate,
     exact_dedup,
@@ -38,11 +39,11 @@ def fold(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
-def tokenizer_path() -> str:
-    """The public tokenizer that contracts name."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A public tokenizer that contracts name."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @query
@@ -313,3 +314,10 @@ FROM f{2 * levels}
 
 
 ORACLES["op12_merkle_manifest"] = _merkle_oracle()
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers align in every document."""
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))[0]
