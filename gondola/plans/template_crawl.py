@@ -21,11 +21,14 @@ def finish(rows: DataFrame) -> DataFrame:
     return once.withColumn("precio_num", price_last_number(PRICE_FIELD)) if PRICE_FIELD in rows.columns else once
 
 
-def template_crawl(pages: DataFrame, starts: DataFrame, template: Template, max_pages: int) -> DataFrame:
-    """Follow next-page links from ``starts (url, start_no)`` through ``pages (url, html)``."""
+def template_crawl(pages: DataFrame, starts: DataFrame, template: Template, max_pages: int | None = None) -> DataFrame:
+    """Follow next-page links from ``starts (url, start_no)`` through ``pages (url, html)``.
+
+    Links are read from every page once, which is one scan; looking pages up hop by hop would be a scan a hop.
+    """
     links = next_links(page_nodes(pages, "url"), template.pagination, ["url"])
     visited = materialise(follow_links(starts, links, max_pages).select("url"), "visited")
-    # at most max_pages URLs: only their pages are parsed again
+    # only the visited pages are parsed again
     reached = pages.join(visited, "url", "left_semi")
     return finish(extract_template(page_nodes(reached, "url"), template, ["url"], "url").drop("url", "item_no"))
 

@@ -1,5 +1,7 @@
 """Robots, sitemaps, paging, duplicates, walks, summaries, audit."""
 
+import itertools
+import random
 import urllib.parse
 import urllib.robotparser
 
@@ -13,6 +15,7 @@ from gondola.operators import paging as P
 from gondola.operators import stats
 from gondola.operators.dedup import dedup_details, dedup_listing, drop_exact, keep_first
 from gondola.operators.robots import host_policies, robots_rules, robots_sitemaps, with_allowed
+from gondola.operators.ranks import numbered, with_running
 from gondola.operators.walk import follow_links
 from gondola.plans.sitemap_products import audit, discover
 from gondola.sources.pages import first_good_fetch
@@ -186,6 +189,32 @@ def test_walk(spark):
             assert [r.visit_no for r in got] == list(range(1, len(got) + 1))
 
 
+def test_walk_without_cap(spark):
+    """Long chains, rings, meeting chains and a page that half of all others link to."""
+    rng = random.Random(4)
+    links = {f"c{i}": f"c{i + 1}" for i in range(900)} | {f"r{i}": f"r{(i + 1) % 70}" for i in range(70)}
+    links |= {f"x{i}": rng.choice(["hub", f"x{rng.randrange(400)}", f"c{rng.randrange(900)}", None]) for i in range(400)} | {"hub": "c880"}
+    starts = ["c0", "r5", "c700", "x3", "nowhere", *[f"x{rng.randrange(400)}" for _ in range(80)]]
+    visited, hop, front = {}, 0, list(dict.fromkeys(starts))
+    while front:
+        visited |= dict.fromkeys(front, hop)
+        front = [u for u in dict.fromkeys(links.get(u) for u in front) if u and u not in visited]
+        hop += 1
+    s = spark.createDataFrame([(u, i) for i, u in enumerate(starts)], "url string, start_no int")
+    e = spark.createDataFrame(list(links.items()), "url string, next_url string").repartition(5)
+    got = follow_links(s, e).orderBy("visit_no").collect()
+    assert [(r.url, r.hop) for r in got] == list(visited.items()) and max(r.hop for r in got) > 100
+    assert [r.visit_no for r in got] == list(range(1, len(got) + 1))
+    assert follow_links(s.limit(0), e).collect() == []
+
+
+def test_numbered(spark):
+    df = spark.range(3000).select((F.col("id") * 7919 % 3000).alias("x"), (F.col("id") * 7919 % 3000 % 3).alias("n"))
+    assert all(r.x == r.at for r in numbered(df, ["x"], "at", "numbers").collect())
+    got = sorted((r.x, r.b) for r in with_running(df, ["x"], "n", "b", "sums").collect())
+    assert [b for _, b in got] == [0, *itertools.accumulate(x % 3 for x in range(2999))]
+
+
 def test_quantiles(spark, monkeypatch):
     monkeypatch.setattr(stats, "FEW_ROWS", 50)
     monkeypatch.setattr(stats, "ACCURACY", 100)

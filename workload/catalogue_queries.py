@@ -321,6 +321,26 @@ def next_page_walk(spark, sf_dir):
     return follow_links(walk_starts(pages, links), links, 30)
 
 
+@query(
+    f"""
+WITH RECURSIVE {PARTS}, {LINK},
+starts AS (SELECT url, k AS start_no FROM edges WHERE url NOT IN (SELECT next_url FROM edges WHERE next_url IS NOT NULL)),
+walk AS (
+  SELECT url, start_no, 0 AS hop, [url] AS trail FROM starts
+  UNION ALL
+  SELECT e.next_url, w.start_no, w.hop + 1, list_append(w.trail, e.next_url)
+  FROM walk w JOIN edges e ON e.url = w.url
+  WHERE e.next_url IS NOT NULL AND NOT list_contains(w.trail, e.next_url)),
+visits AS (SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY url ORDER BY hop, start_no) = 1)
+SELECT url, row_number() OVER (ORDER BY hop, start_no) AS visit_no, CAST(hop AS INTEGER) AS hop FROM visits"""
+)
+def chain_walk(spark, sf_dir):
+    """R1 X11 over all chains, without a cap"""
+    pages = render.link_pages(spark, sf_dir)
+    links = materialise(next_links(page_nodes(pages, "url"), DEFAULT_TEMPLATE.pagination, ["url"]), "links")
+    return follow_links(walk_starts(pages, links), links)
+
+
 @query(
     f"""
 WITH {SLOTS}, {POD}
