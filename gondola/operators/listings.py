@@ -23,10 +23,11 @@ from gondola.operators.select import (
     climb,
     find_all,
     find_first,
+    first_below,
     first_clean_text,
     first_href,
-    first_text,
-    has_any,
+    hit_index,
+    hits_below,
     node,
     page_scope,
     sel,
@@ -82,36 +83,45 @@ _RECORD_TYPE = (
 )
 
 
-def _is_pod(i: Column) -> Column:
-    return (node(i)["tag"] == "body") | has_any(below(i), POD_MARKS)
-
-
 def pod_records() -> Column:
-    """Cards of the pod layout; kept if title, brand, price or link is there."""
-
-    def price(pod: Column) -> Column:
-        # the attribute counts as soon as it is present; the text is only a fallback
-        listed = let(find_first(below(pod), POD_PRICE_ITEM), lambda i: attr(i, "data-internet-price"))
-        return F.coalesce(listed, clean_text(first_text(below(pod), POD_PRICES, " ")))
-
-    def record(anchor: Column) -> Column:
-        def of(pod: Column) -> Column:
-            title = F.coalesce(find_first(below(pod), POD_TITLES), find_first(below(anchor), POD_TITLES))
-            return F.struct(
-                clean_text(let(title, text)).alias("title"),
-                clean_text(first_text(below(pod), POD_BRAND)).alias("brand"),
-                clean_text(first_text(below(pod), POD_UNIT)).alias("presentation"),
-                price(pod).alias("price_text"),
-                falsy_to_null(attr(anchor, "href")).alias("href"),
-                F.lit("DOM").alias("origin"),
-            )
-
-        return let(climb(anchor, _is_pod, POD_CLIMB), of)
-
-    found = F.transform(find_all(page_scope(), POD_ANCHORS), record)
-    return F.filter(
-        found, lambda r: F.coalesce(r["title"], r["brand"], falsy_to_null(r["price_text"]), r["href"]).isNotNull()
-    ).cast(_RECORD_TYPE)
+    """Cards of the pod layout; kept if title, brand, price or link is there.
+
+    Every selector is looked for once a page. An anchor then finds its pod, and the pod its fields, in these indexes, so
+    anchors without a pod of their own, which climb to the whole page, cost no more than others.
+    """
+    groups = {
+        "marks": POD_MARKS, "titles": POD_TITLES, "brands": POD_BRAND, "units": POD_UNIT, "items": POD_PRICE_ITEM, "prices": POD_PRICES,
+    }
+
+    def records(x: Column) -> Column:
+        def is_pod(i: Column) -> Column:
+            return (node(i)["tag"] == "body") | (hits_below(x["marks"], i) > 0)
+
+        def price(pod: Column) -> Column:
+            # the attribute counts as soon as it is present; the text is only a fallback
+            listed = attr(first_below(x["items"], pod), "data-internet-price")
+            return F.coalesce(listed, clean_text(let(first_below(x["prices"], pod), lambda i: text(i, " "))))
+
+        def record(anchor: Column) -> Column:
+            def of(pod: Column) -> Column:
+                title = F.coalesce(first_below(x["titles"], pod), first_below(x["titles"], anchor))
+                return F.struct(
+                    clean_text(let(title, text)).alias("title"),
+                    clean_text(let(first_below(x["brands"], pod), text)).alias("brand"),
+                    clean_text(let(first_below(x["units"], pod), text)).alias("presentation"),
+                    price(pod).alias("price_text"),
+                    falsy_to_null(attr(anchor, "href")).alias("href"),
+                    F.lit("DOM").alias("origin"),
+                )
+
+            return let(climb(anchor, is_pod, POD_CLIMB), of)
+
+        found = F.transform(find_all(page_scope(), POD_ANCHORS), record)
+        return F.filter(
+            found, lambda r: F.coalesce(r["title"], r["brand"], falsy_to_null(r["price_text"]), r["href"]).isNotNull()
+        ).cast(_RECORD_TYPE)
+
+    return let(F.struct(*[hit_index(g).alias(name) for name, g in groups.items()]), records)
 
 
 def json_window_records(html: Column | str) -> Column:

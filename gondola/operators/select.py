@@ -199,6 +199,39 @@ def count_all(scope: Column, group: Group) -> Column:
     return F.coalesce(F.size(find_all(scope, group)), F.lit(0))
 
 
+def hit_index(group: Group) -> Column:
+    """All matches on the page, and for every node how many of them are at or before it.
+
+    Built by one look at every node. The matches below a node are then those between two numbers, whatever the size of its
+    subtree; without an index every search looks at the whole subtree again.
+    """
+
+    def of(hits: Column) -> Column:
+        last = F.size(F.col(NODES)) - 1
+        # k matches are at or before the nodes from match k - 1 up to the one before match k
+        begins = F.concat(F.array(F.lit(0)), hits)
+        ends = F.concat(hits, F.array(last + 1))
+        runs = F.transform(F.arrays_zip(begins.alias("a"), ends.alias("z")), lambda r, k: F.array_repeat(k, r["z"] - r["a"]))
+        return F.struct(hits.alias("hits"), F.flatten(runs).alias("upto"))
+
+    return let(find_all(page_scope(), group), of)
+
+
+def hits_below(index: Column, i: Column) -> Column:
+    """How many matches of an index are below the node at ``i``."""
+    return F.get(index["upto"], node(i)["last"]) - F.get(index["upto"], i)
+
+
+def first_below(index: Column, i: Column) -> Column:
+    """E4 by an index: the first match below the node at ``i``."""
+    return F.when(hits_below(index, i) > 0, F.get(index["hits"], F.get(index["upto"], i)))
+
+
+def all_below(index: Column, i: Column) -> Column:
+    """E2 by an index: the matches below the node at ``i``, in document order."""
+    return F.when(i.isNotNull(), F.slice(index["hits"], F.get(index["upto"], i) + 1, hits_below(index, i)))
+
+
 def climb(i: Column, stop, steps: int) -> Column:
     """Go up from ``i`` until ``stop`` holds, at most ``steps`` parents; past the root, back to ``i``."""
     start = F.struct(i.alias("at"), F.lit(False).alias("done"))

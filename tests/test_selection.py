@@ -1,10 +1,15 @@
 """Page trees and element selection."""
 
+import random
+import time
+
 from pyspark.sql import functions as F
 
+from gondola.functions.columns import let
 from gondola.operators import select as S
 from gondola.operators.cards import card_pages, cards
 from gondola.operators.details import jsonld_details
+from gondola.operators.listings import pod_records
 from gondola.operators.nodes import element_rows
 from gondola.operators.select import page_scope, sel
 from gondola.operators.template import next_links
@@ -147,3 +152,38 @@ def test_selection_stays_within_the_row(spark):
     nodes = nodes_of(spark, "<p>1</p>")
     text = plan(nodes.select("page_id", S.first_text(page_scope(), sel("p"))))
     assert text.count("MapInArrow") == 1 and "Exchange" not in text
+
+
+def test_index_equals_search(spark):
+    """Matches below every node of random pages, by an index and by looking through the subtree."""
+    rng = random.Random(11)
+
+    def some(depth):
+        inner = "".join(some(depth + 1) for _ in range(rng.randrange(0, 4 if depth < 4 else 1)))
+        return f"<{(t := rng.choice(['div', 'p', 'b', 'br']))} class='{rng.choice('abc')}'>{rng.choice(['', 'x'])}{inner}</{t}>"
+
+    nodes = nodes_of(spark, *["<body>" + some(0) + some(0) + "</body>" for _ in range(12)], "", "text")
+
+    def same(x, i, group):
+        return (
+            S.all_below(x, i).eqNullSafe(S.find_all(S.below(i), group))
+            & S.first_below(x, i).eqNullSafe(S.find_first(S.below(i), group))
+            & (S.hits_below(x, i) > 0).eqNullSafe(S.has_any(S.below(i), group))
+        )
+
+    everywhere = F.sequence(F.lit(0), F.size("nodes") - 1)
+    for group in (sel(cls="a"), [sel("b"), sel(cls="c")], sel("none"), sel("p", within=sel("div"))):
+        alike = let(S.hit_index(group), lambda x, group=group: F.forall(everywhere, lambda i: same(x, i, group)))
+        assert all(values(nodes.select("page_id", alike)))
+
+
+def test_anchors_without_pods_take_linear_time(spark):
+    def seconds(n):
+        anchors = "".join(f'<div><p><a class="pod-link" href="/{i}">x{i}</a></p></div>' for i in range(n))
+        nodes = nodes_of(spark, f"<body>{anchors}</body>")
+        began = time.perf_counter()
+        assert nodes.select(F.size(pod_records()).alias("n")).first().n == n
+        return time.perf_counter() - began
+
+    seconds(100)  # compiles
+    assert seconds(20_000) < 12  # a search of the page for each would take an hour
