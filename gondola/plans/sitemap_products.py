@@ -7,13 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gondola.functions.urls import looks_like_product, split_products
+from gondola.functions.urls import html_is_product, looks_like_product, split_products
 from gondola.operators.audit import accepted, discarded, named_only, with_reason
 from gondola.operators.cards import card_pages, card_products, cards, join_details
 from gondola.operators.dedup import dedup_products, keep_first
 from gondola.operators.details import detail_nodes, detail_records
 from gondola.operators.nodes import page_nodes
 from gondola.operators.paging import first_per_category, first_rows, last_pages, until_stop
+from gondola.operators.prefilter import only_wanted
 from gondola.operators.records import rows_per_page
 from gondola.operators.robots import with_allowed
 from gondola.session import materialise
@@ -43,13 +44,13 @@ def discover(
 def visit(urls: DataFrame, corpus: DataFrame, policies: DataFrame | None) -> DataFrame:
     """Allowed URLs with their details and, where they give no product, the reason.
 
-    ``corpus`` has one HTTP-OK page per URL and is cut down to the allowed URLs before parsing.
+    ``corpus`` has one HTTP-OK page per URL and is cut down to the allowed URLs before parsing: by a bitmap at the
+    scan, so that hardly any other page text is shuffled where the list is too long to broadcast.
     """
     allowed = urls if policies is None else with_allowed(urls, policies).filter("allowed").drop("allowed")
     # written first, so that its size is known when the join is planned
     allowed = materialise(allowed, "allowed")
-    corpus = corpus.join(allowed.select("url"), "url", "left_semi")
-    details = detail_records(detail_nodes(corpus, "url"), ["url"])
+    details = detail_records(detail_nodes(only_wanted(corpus, allowed.select("url"), "url"), "url"), ["url"])
     return with_reason(allowed.join(details, "url", "left"))
 
 
@@ -68,7 +69,7 @@ def audit(visited: DataFrame, target: int | None = None, as_of: Column | None =
 
 def category_products(
     pages: DataFrame,
-    details: DataFrame,
+    corpus: DataFrame,
     base: Column,
     policies: DataFrame | None = None,
     max_products: int | None = None,
@@ -77,7 +78,8 @@ def category_products(
     """Cards of listing pages ``(category, page_no, url, html)`` as products.
 
     A category ends at its first barred, missing or empty page. Robots rules are joined to the
-    short card rows, not to the pages, so that no page text is shuffled.
+    short card rows, not to the pages, so that no page text is shuffled. Of the ``corpus`` of detail pages only those that
+    an allowed card links to are parsed.
     """
     place = ["category", "page_no"]
     found = materialise(card_pages(page_nodes(pages, *place, "url"), [*place, "url"]), "card-pages")
@@ -90,19 +92,23 @@ def category_products(
     allowed = None
     if policies is not None:
         rows, allowed = with_allowed(rows, policies), F.col("allowed")
-    looked_up = join_details(rows, details, allowed)
+    rows = materialise(rows, "card-rows")
+    looked_up = join_details(rows, lookup_details(corpus, rows if allowed is None else rows.filter(allowed)), allowed)
     return card_products(looked_up, [*place, "item_no"], as_of)
 
 
-def lookup_details(corpus: DataFrame) -> DataFrame:
-    """Detail pages by URL, for ``category_products``: pages that look like products.
+def lookup_details(corpus: DataFrame, linked: DataFrame | None = None) -> DataFrame:
+    """Detail pages by URL, for ``join_details``: pages that look like products (F3), of the URLs in ``linked`` if given.
 
-    The table is written, so that the join with the cards can be split where many cards share
-    one URL.
+    Both tests are made on URL and text, so no other page is parsed. The table is written, so that the join with the cards
+    can be split where many cards share one URL.
     """
-    details = detail_records(detail_nodes(corpus, "url"), ["url"])
-    usable = looks_like_product("url", F.col("html_is_product")) & ~F.col("bad_price")
-    once = keep_first(details.filter(usable).drop("parse_error", "html_is_product", "bad_price"), ["url"], [])
+    if linked is not None:
+        wanted = materialise(linked.filter("url <> ''").select("url").distinct(), "linked")
+        corpus = only_wanted(corpus, wanted, "url")
+    pages = corpus.filter(looks_like_product("url", html_is_product("html")))
+    details = detail_records(detail_nodes(pages, "url"), ["url"]).filter(~F.col("bad_price"))
+    once = keep_first(details.drop("parse_error", "html_is_product", "bad_price"), ["url"], [])
     return materialise(once, "details")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gondola.functions.urls import url_slug
 from gondola.operators.paging import topped_up
-from gondola.plans.sitemap_products import audit, category_products, discover, final_products, lookup_details, visit
+from gondola.plans.sitemap_products import audit, category_products, discover, final_products, visit
 from gondola.session import materialise
 from gondola.sources.tables import export_products
 
@@ -38,7 +38,7 @@ def sitemap_run(
     if products.count() < target:
         named = materialise(found.collections.select("ord", url_slug("url").alias("category")), "collections")
         pages = listings.join(named.select("category").distinct(), "category", "left_semi")
-        cards = materialise(category_products(pages, lookup_details(corpus), base, policies, per_category, as_of), "cards")
+        cards = materialise(category_products(pages, corpus, base, policies, per_category, as_of), "cards")
         # each turn brings a card at least: more than target turns are never needed, and the window sees no more
         turns = named.join(cards.select("category").distinct(), "category", "left_semi").orderBy("ord", "category").limit(target)
         turns = turns.withColumn("turn", F.row_number().over(Window.orderBy("ord", "category")).cast("long")).drop("ord")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gondola.operators import paging as P
+from gondola.operators import prefilter
 from gondola.operators.cards import DETAIL_FIELDS, join_details
 from gondola.operators.dedup import dedup_listing
 from gondola.operators.details import detail_nodes, detail_records
@@ -11,6 +12,7 @@ from gondola.operators.robots import host_policies, robots_rules, with_allowed
 from gondola.operators.select import first_text, page_scope, sel
 from gondola.operators.nodes import page_nodes
 from gondola.operators.stats import top_values
+from gondola.plans import sitemap_products
 from gondola.session import materialise
 from tests.helpers import plan
 
@@ -112,3 +114,41 @@ def test_detail_record_is_one_narrow_stage(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     text = plan(detail_records(detail_nodes(pages, "url"), ["url"]))
     assert text.count("MapInArrow") == 1 and "Exchange" not in text and "Join" not in text
+
+
+@pytest.mark.parametrize("bits", [26, 12])
+def test_wanted_rows_are_told_at_the_scan(spark, monkeypatch, bits):
+    monkeypatch.setattr(prefilter, "MOST_BITS_LOG2", bits)
+    url = F.concat(F.lit("https://h/"), F.col("id").cast("string"))
+    wanted = materialise(spark.range(0, 20000, 10).select(url.alias("url")), "wanted")
+    rows = spark.range(20000).select(F.when(F.col("id") != 30, url).alias("url"), F.repeat(F.lit("x"), 500).alias("html"))
+    passed = rows.filter(prefilter.may_be_in("url", wanted, "url"))
+    assert 1999 <= passed.count() < (2100 if bits == 26 else 18000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = prefilter.only_wanted(rows, wanted, "url")
+        assert kept.count() == 1999
+        text = plan(kept)  # from the top down: the test is below the shuffle
+        assert text.index("SortMergeJoin") < text.index("Exchange hashpartitioning(url") < text.index("xxhash64(url")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert prefilter.only_wanted(rows, wanted.limit(0), "url").count() == 0
+
+
+def test_only_linked_products_are_parsed(spark):
+    urls = ["https://h/a-1/p", "https://h/b-2/p", "https://h/col", "https://h/c-3/p"]
+    corpus = spark.createDataFrame([(u, "<h1>x</h1>") for u in urls], "url string, html string")
+    linked = spark.createDataFrame([(u,) for u in [*urls[:3], *urls[:1], "", None]], "url string")
+    parsed = []
+    lookup = sitemap_products.lookup_details
+
+    def spy(pages, *keep):
+        parsed.extend(r.url for r in pages.collect())
+        return detail_nodes(pages, *keep)
+
+    sitemap_products.detail_nodes, old = spy, sitemap_products.detail_nodes
+    try:
+        lookup(corpus, linked)
+    finally:
+        sitemap_products.detail_nodes = old
+    assert sorted(parsed) == urls[:2]

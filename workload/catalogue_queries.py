@@ -239,8 +239,8 @@ def shop_cards(spark, sf_dir):
 @query(f"WITH {SLOTS}, {CARD} SELECT page_no, item_no, {PRODUCT_COLUMNS} FROM full_products")
 def card_detail_join(spark, sf_dir):
     """X10 J1 E6 E17 F14 N2"""
-    found = cards(shop_cards(spark, sf_dir), ["category", "page_no"], BASE(SHOP))
-    details = lookup_details(render.detail_pages(spark, sf_dir))
+    found = materialise(cards(shop_cards(spark, sf_dir), ["category", "page_no"], BASE(SHOP)), "cards")
+    details = lookup_details(render.detail_pages(spark, sf_dir), found)
     return card_products(join_details(found, details), ["category", "page_no", "item_no"], as_of())
 
 

@@ -17,7 +17,6 @@ from gondola.plans.sitemap_products import (
     category_products,
     discover,
     final_products,
-    lookup_details,
     visit,
 )
 from gondola.plans.sitemap_run import sitemap_run as run_sitemaps
@@ -218,9 +217,8 @@ taken AS (
 @query(f"WITH {SLOTS}, {TAKEN} SELECT {PRODUCT_COLUMNS}, page_no, item_no FROM taken")
 def category_cards(spark, sf_dir):
     """Category listings to products: U4 E17 F6 W1 W3 X10 J1"""
-    details = lookup_details(render.detail_pages(spark, sf_dir))
-    pages = render.category_card_pages(spark, sf_dir)
-    return category_products(pages, details, F.lit(SHOP), policies(spark, "/list/13"), 30, as_of())
+    pages, corpus = render.category_card_pages(spark, sf_dir), render.detail_pages(spark, sf_dir)
+    return category_products(pages, corpus, F.lit(SHOP), policies(spark, "/list/13"), 30, as_of())
 
 
 @query(
