@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.functions.text import last_segment
@@ -33,23 +33,48 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_saved_page(spark: SparkSession, path: str) -> DataFrame:
-    """One saved file; no row if it is empty."""
-    return _with_path(spark.read.text(path, wholetext=True))
+    """One saved file; no row if it is empty. A file that cannot be read is an error."""
+    return _texts(spark.read.format("binaryFile").load(path))
 
 
 def read_saved_folder(spark: SparkSession, path: str) -> DataFrame:
-    """All ``.html`` and ``.htm`` files below a folder. They have no base URL.
+    """All ``.html`` and ``.htm`` files below a folder, as ``path, html, file_name``. They have no base URL.
 
-    Sort by ``path`` where order matters. A file that cannot be read is an error.
+    Sort by ``path`` where order matters. Empty files give no row. One that cannot be read gives none either but is told
+    by ``saved_discards``, and the others are read on.
     """
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", HTML_GLOB)
-    found = _with_path(reader.text(path, wholetext=True))
-    return found.filter(F.col("path").rlike(r"(?i)\.html?$"))
+    return _texts(_saved_files(spark, path))
 
 
-def _with_path(files: DataFrame) -> DataFrame:
-    rows = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
-    return rows.filter(F.length("html") > 0).withColumn("file_name", last_segment("path"))
+def saved_discards(spark: SparkSession, path: str) -> DataFrame:
+    """``path, file_name, reason`` of the ``.html`` and ``.htm`` files that are ``unreadable``, and of those that
+    were read but for their ``bad_bytes``. Empty files have nothing to lose and are not listed.
+
+    The folder is listed without opening files; what reading them does not return could not be read.
+    """
+    listed = _saved_files(spark, path).select(_path())
+    read = _saved_files(spark, path).select(_path(), F.is_valid_utf8(F.col("content").cast("string")).alias("valid"))
+    reason = F.when(F.col("valid").isNull(), "unreadable").otherwise("bad_bytes").alias("reason")
+    lost = listed.join(read, "path", "left").filter("valid IS NULL OR NOT valid")
+    return lost.select("path", last_segment("path").alias("file_name"), reason)
+
+
+def _path() -> Column:
+    return F.col("_metadata.file_path").alias("path")
+
+
+def _saved_files(spark: SparkSession, path: str) -> DataFrame:
+    options = {"recursiveFileLookup": True, "pathGlobFilter": HTML_GLOB, "ignoreCorruptFiles": True}
+    files = spark.read.format("binaryFile").options(**options).load(path)
+    return files.filter(F.col("_metadata.file_path").rlike(r"(?i)\.html?$"))
+
+
+def _texts(files: DataFrame) -> DataFrame:
+    """Contents as text, without the bytes that are no UTF-8. (With them go replacement characters of the same file.)"""
+    raw = F.col("content").cast("string")
+    html = F.when(F.is_valid_utf8(raw), raw).otherwise(F.replace(F.make_valid_utf8(raw), F.lit("\ufffd"), F.lit("")))
+    rows = files.filter(F.octet_length("content") > 0).select(_path(), html.alias("html"))
+    return rows.withColumn("file_name", last_segment("path"))
 
 
 def first_good_fetch(log: DataFrame, max_tries: int = 3) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from gondola.plans.category_crawl import describe_listing
 from gondola.schemas import DETAIL_PRICE_SCHEMA, LISTING_SCHEMA, PRODUCT_ORDER
 from gondola.session import fresh_dir, materialise, shared_dir
-from gondola.sources.pages import read_corpus, read_saved_folder, read_saved_page, spread
+from gondola.sources.pages import read_corpus, read_saved_folder, read_saved_page, saved_discards, spread
 from gondola.sources.tables import export_products, read_csv, write_if_any
 
 ROW = ("ñandú, \"x\"\nline", "", None, "S/ 1", 1.5, "https://h/p", "c", None, "DOM")
@@ -21,10 +21,25 @@ def test_saved_pages(spark, tmp_path):
     rows = read_saved_folder(spark, str(tmp_path)).orderBy("path").collect()
     assert [(r.file_name, r.html) for r in rows][0] == ("b.html", "<b>1\n2</b>")
     assert [r.file_name for r in rows] == ["b.html", "bad.html", "a.HTM"] and "ok" in rows[1].html
+    assert rows[1].html == "<p> ok</p>"  # as if the byte were not there
+    assert [(r.file_name, r.reason) for r in saved_discards(spark, str(tmp_path)).collect()] == [("bad.html", "bad_bytes")]
     assert [r.html for r in read_saved_page(spark, str(tmp_path / "b.html")).collect()] == ["<b>1\n2</b>"]
     assert read_saved_page(spark, str(tmp_path / "d.html")).count() == 0
 
 
+def test_a_file_that_cannot_be_read_is_reported(spark, tmp_path):
+    spark.createDataFrame([("<b>1</b>",)], "value string").coalesce(1).write.text(str(tmp_path / "w"))
+    part = next((tmp_path / "w").glob("part-*"))
+    crc = part.with_name(f".{part.name}.crc").read_bytes()
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/bad.html").write_text("<b>other</b>")
+    (tmp_path / "in/.bad.html.crc").write_bytes(crc)  # a checksum that is not the file's
+    (tmp_path / "in/good.html").write_text("<b>\u00f1</b>")
+    folder = str(tmp_path / "in")
+    assert [(r.file_name, r.html) for r in read_saved_folder(spark, folder).collect()] == [("good.html", "<b>\u00f1</b>")]
+    assert [(r.file_name, r.reason) for r in saved_discards(spark, folder).collect()] == [("bad.html", "unreadable")]
+
+
 def test_corpus(spark, tmp_path):
     rows = [(1, "a", 200), (2, "b", 404), (3, "c", None)]
     spark.createDataFrame(rows, "page_id int, html string, status int").coalesce(1).write.parquet(str(tmp_path / "c"))

@@ -22,6 +22,7 @@ from gondola.operators.walk import follow_links
 from gondola.plans.saved_pages import saved_page_listing, saved_page_products
 from gondola.plans.sitemap_products import lookup_details
 from gondola.session import materialise
+from gondola.sources.pages import read_saved_folder, read_saved_page, saved_discards
 from workload.registry import PARTS, SHOP_SQL, SLOTS, query
 from workload import render
 from workload.render import SHOP
@@ -60,6 +61,33 @@ def pods(spark, sf_dir):
     return pod_listing(nodes, ["page_id"], BASE(SHOP))
 
 
+FILE = "'p' || page || CASE WHEN page % 4 = 0 THEN '.HTM' ELSE '.html' END"
+
+
+@query(f"WITH {SLOTS}, {POD} SELECT {FILE} AS file_name, item_no, {LISTING} FROM pods WHERE page % 9 <> 4")
+def saved_folder(spark, sf_dir):
+    """A folder of files, some with bad bytes, among empty ones and others"""
+    files = read_saved_folder(spark, render.saved_folder(spark, sf_dir))
+    return pod_listing(page_nodes(files, "file_name"), ["file_name"], BASE(SHOP))
+
+
+@query(f"WITH {SLOTS} SELECT DISTINCT {FILE} AS file_name, 'bad_bytes' AS reason FROM slots WHERE page % 9 <> 4 AND page % 5 = 2")
+def saved_folder_discards(spark, sf_dir):
+    """The files of which something is lost"""
+    return saved_discards(spark, render.saved_folder(spark, sf_dir)).select("file_name", "reason")
+
+
+@query(
+    f"""
+WITH {SLOTS}, {POD}
+SELECT CAST(row_number() OVER (ORDER BY page, item_no) - 1 AS INTEGER) AS item_no, {LISTING} FROM pods"""
+)
+def saved_file(spark, sf_dir):
+    """One file with the whole catalogue"""
+    page = read_saved_page(spark, render.saved_file(spark, sf_dir))
+    return pod_listing(page_nodes(page, "file_name"), ["file_name"], BASE(SHOP)).drop("file_name")
+
+
 @query(f"WITH {SLOTS}, {POD} SELECT page AS page_id, item_no, {LISTING} FROM pods")
 def pod_cards(spark, sf_dir):
     """X2 E9 E12 F9 J5"""

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gondola.session import fresh_dir
 from gondola.sources.pages import spread
 
 SHOP = "https://shop.example.com"
@@ -269,3 +270,39 @@ def sitemap_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
         ).alias("body"),
     )
     return index, sitemaps.select("sitemap_url", "body")
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and its class of paths."""
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def saved_folder(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with a file for each pod page: ``.html``, every fourth ``.HTM`` in a folder of its own, every ninth with a name
+    that is no page's and an empty page beside it. Every fifth begins with bytes that are no UTF-8.
+    """
+    page = F.col("page_id")
+    name = fmt("p~~", "page_id", F.when(page % 9 == 4, ".htmlx").when(page % 4 == 0, ".HTM").otherwise(".html"))
+    body = F.when(page % 5 == 2, F.concat(F.unhex(F.lit("FFFE")), F.encode("html", "UTF-8"))).otherwise(F.encode("html", "UTF-8"))
+    files = pod_pages(spark, sf_dir).select(body.cast("string"), F.when(page % 4 == 0, "old").otherwise("new").alias("folder"), name.alias("name"))
+    parts, path = fresh_dir(spark, "files"), fresh_dir(spark, "saved")
+    files.write.partitionBy("folder", "name").text(parts)
+    fs, at = _hadoop(spark, path)
+    for folder in ("old", "new"):
+        fs.mkdirs(at(f"{path}/{folder}"))
+    for found in fs.globStatus(at(f"{parts}/folder=*/name=*/part-*")):
+        source = found.getPath()
+        name = source.getParent().getName().removeprefix("name=")
+        fs.rename(source, at(f"{path}/{source.getParent().getParent().getName().removeprefix('folder=')}/{name}"))
+        if name.endswith(".htmlx"):
+            fs.create(at(f"{path}/new/{name.replace('p', 'e', 1).removesuffix('x')}")).close()
+    return path
+
+
+def saved_file(spark: SparkSession, sf_dir: str) -> str:
+    """One file with all pod pages, one after another."""
+    path = fresh_dir(spark, "saved-file")
+    pod_pages(spark, sf_dir).repartition(1).sortWithinPartitions("page_id").select("html").write.text(path)
+    fs, at = _hadoop(spark, path)
+    return fs.globStatus(at(f"{path}/part-*"))[0].getPath().toString()

@@ -322,7 +322,7 @@ SELECT DISTINCT CAST(NULL AS VARCHAR) AS titulo, 'S/ ' || price_text AS precio,
 FROM parts"""
 )
 def template_saved(spark, sf_dir):
-    """Saved pages to template records, without a base URL: S2 X1 G1 N1"""
+    """Pages to template records, without a base URL: X1 G1 N1"""
     return template_pages(render.link_pages(spark, sf_dir), DEFAULT_TEMPLATE)
 
 
