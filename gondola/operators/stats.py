@@ -4,51 +4,53 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gondola.operators.ranks import with_running
+
 NO_BRAND = "Sin marca"
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 # rank error of the approximate quantiles is one part in this many
 ACCURACY = 10_000
-# up to this many rows all values are candidates
-FEW_ROWS = 20 * ACCURACY
 
 
 def quantiles(df: DataFrame, column: str, wanted: dict[str, float]) -> DataFrame:
-    """Exact, interpolated quantiles, as one row with a column each.
+    """Exact, interpolated quantiles, as one row with a column each; null without values.
 
-    Approximate quantiles (a bounded sketch) give a bracket around each wanted one. Counting
-    the rows below a bracket tells how far into it the wanted rank lies, so only the values
-    inside the brackets are sorted: a few in ten thousand of the rows, equal ones merged.
-    The input is read three times.
+    The input is read twice. Approximate quantiles (a bounded sketch, exact for few rows) give a bracket around each wanted
+    one. The second time, values inside a bracket are counted each, and all below and all above it together, with the
+    largest and the smallest of them: a few in ten thousand of the rows, equal ones merged before the shuffle. Running
+    counts over ranges of these tell which value has the wanted rank, so no task sees more than its range of a bracket.
     """
     values = df.select(F.col(column).alias("v")).filter("v is not null")
     margin = 2 / ACCURACY
     shares = [max(p - margin, 0.0) if low else min(p + margin, 1.0) for p in wanted.values() for low in (True, False)]
-    near = F.percentile_approx("v", F.array(*map(F.lit, shares)), ACCURACY)
-    whole = F.array(*[F.min("v"), F.max("v")] * len(wanted))
-    bounds = values.agg(F.when(F.count("v") > FEW_ROWS, near).otherwise(whole).alias("bounds")).scalar()
-    low, high = (lambda j: bounds[2 * j]), (lambda j: bounds[2 * j + 1])
-
-    below = [F.count_if(F.col("v") < low(j)) for j in range(len(wanted))]
-    counts = values.agg(F.struct(F.count("v").alias("total"), F.array(*below).alias("below")).alias("counts")).scalar()
-
-    brackets = [F.when(F.col("v").between(low(j), high(j)), F.lit(j)) for j in range(len(wanted))]
-    inside = values.select("v", F.explode(F.array_compact(F.array(*brackets))).alias("j"))
-    merged = inside.groupBy("j", "v").agg(F.count(F.lit(1)).alias("n"))
-    up_to = F.sum("n").over(Window.partitionBy("j").orderBy("v"))
-    # ranks [first, end) of each value, and the wanted position
-    ranked = merged.select("j", "v", "n", up_to.alias("up_to"), counts.alias("c")).select(
-        "j",
-        "v",
-        (F.get("c.below", "j") + F.col("up_to") - F.col("n")).alias("first"),
-        (F.get("c.below", "j") + F.col("up_to")).alias("end"),
-        ((F.col("c.total") - 1) * F.get(F.array(*map(F.lit, wanted.values())), F.col("j"))).alias("at"),
+    bounds = values.agg(F.percentile_approx("v", F.array(*map(F.lit, shares)), ACCURACY).alias("bounds")).scalar()
+    low, high = (lambda j: F.get(bounds, F.lit(2 * j))), (lambda j: F.get(bounds, F.lit(2 * j + 1)))
+
+    def placed(j: int) -> Column:
+        side = F.when(F.col("v") < low(j), -1).when(F.col("v") > high(j), 1).otherwise(0)
+        return F.struct(F.lit(j).alias("j"), side.alias("side"), F.when(side == 0, F.col("v")).alias("inside"))
+
+    spread = values.select("v", F.inline(F.array(*map(placed, range(len(wanted))))))
+    merged = spread.groupBy("j", "side", "inside").agg(
+        F.count(F.lit(1)).alias("n"), F.when(F.col("side") < 0, F.max("v")).otherwise(F.min("v")).alias("v")
     )
-    holds = lambda rank: F.when((rank >= F.col("first")) & (rank < F.col("end")), F.col("v"))
+    ranked = with_running(merged, ["j", "side", "inside"], "n", "before", "brackets")
+    # all rows come once for each wanted quantile
+    total = ranked.agg((F.sum("n") / len(wanted)).cast("long")).scalar()
+    share = F.get(F.array(*map(F.lit, wanted.values())), F.col("j"))
+    first = F.col("before") - F.col("j") * total
+    ranked = ranked.select("j", "side", "v", "n", first.alias("first"), ((total - 1) * share).alias("at"))
+    # of those below a bracket only the last is known, of those above only the first
+    known = lambda rank: F.when(F.col("side") < 0, rank == F.col("first") + F.col("n") - 1).when(
+        F.col("side") > 0, rank == F.col("first")
+    ).otherwise((rank >= F.col("first")) & (rank < F.col("first") + F.col("n")))
     found = ranked.groupBy("j").agg(
-        F.max(holds(F.floor("at"))).alias("lo"), F.max(holds(F.ceil("at"))).alias("hi"), F.max("at").alias("at")
+        F.max(F.when(known(F.floor("at")), F.col("v"))).alias("lo"),
+        F.max(F.when(known(F.ceil("at")), F.col("v"))).alias("hi"),
+        F.max("at").alias("at"),
     )
     value = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.floor("at"))
     return found.agg(*[F.max(F.when(F.col("j") == j, value)).alias(k) for j, k in enumerate(wanted)])

@@ -6,6 +6,7 @@ import urllib.parse
 import urllib.robotparser
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -216,7 +217,6 @@ def test_numbered(spark):
 
 
 def test_quantiles(spark, monkeypatch):
-    monkeypatch.setattr(stats, "FEW_ROWS", 50)
     monkeypatch.setattr(stats, "ACCURACY", 100)
     rng = np.random.default_rng(1)
     skewed = np.concatenate([np.full(700, 5.0), rng.lognormal(0, 3, 1300)])
@@ -231,6 +231,17 @@ def test_quantiles(spark, monkeypatch):
     assert stats.has_values(empty, "price").first()[0] is False
 
 
+def test_quantiles_at_every_size(spark):
+    """One algorithm from one row on; sizes around those at which the sketch stops being exact."""
+    rng = np.random.default_rng(2)
+    shares = {"a": 0.0, "b": 0.001, "c": 0.5, "d": 0.9, "e": 1.0}
+    for n in (1, 2, 3, 5, 12, 9_999, 10_001, 19_999, 250_000):
+        data = np.round(rng.lognormal(0, 2, n), 2)
+        df = spark.createDataFrame(pd.DataFrame({"x": data})).repartition(3)
+        got = stats.quantiles(df, "x", shares).first()
+        assert np.allclose(list(got), np.quantile(data, list(shares.values())), rtol=1e-12), n
+
+
 def test_top_values(spark):
     df = spark.createDataFrame([(b,) for b in ["a", "a", None, "b", "b", "c", None, None]], "brand string")
     top = stats.top_values(df, "brand", 3)
