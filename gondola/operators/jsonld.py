@@ -2,28 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gondola.functions.columns import falsy_to_null, let
-from gondola.operators.nodes import RAW_TEXT
-from gondola.operators.select import find_all, node, sel
+from gondola.operators.nodes import JSONLD_TYPE, RAW_TEXT
+from gondola.operators.select import find_all, node, page_scope, sel
 
-JSONLD_SCRIPT = sel("script", equals={"type": "application/ld+json"})
+BAD_JSON = "bad_json"
+JSONLD_SCRIPT = sel("script", equals={"type": JSONLD_TYPE})
 TYPE_PATH = "$['@type']"
 
 
-def scripts(scope: Column) -> Column:
-    """Parsed JSON-LD scripts of a page, in order; those that are not JSON are left out."""
+def contents(scope: Column) -> Column:
+    """Texts of the JSON-LD scripts of a page, in order; null for an empty script.
+
+    Repeated keys and numbers like NaN are gone from them since the page was parsed (``nodes.plain_json``).
+    """
 
     def content(i: Column) -> Column:
         child = node(i + 1)
         return F.when((node(i)["last"] > i) & (child["tag"] == RAW_TEXT), child["text"])
 
-    parsed = F.transform(find_all(scope, JSONLD_SCRIPT), lambda i: F.try_parse_json(content(i)))
+    return F.transform(find_all(scope, JSONLD_SCRIPT), content)
+
+
+def scripts(scope: Column) -> Column:
+    """Parsed JSON-LD scripts of a page, in order; those that are not JSON are left out."""
+    parsed = F.transform(contents(scope), F.try_parse_json)
     return F.filter(parsed, lambda v: v.isNotNull())
 
 
+def refused_scripts(nodes: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """The JSON-LD scripts that are not JSON, as ``(script_no, text, reason)``, so that their loss is seen."""
+    found = nodes.select(*keep, F.posexplode_outer(contents(page_scope())).alias("script_no", "text"))
+    refused = found.filter(F.col("text").isNotNull() & F.try_parse_json("text").isNull())
+    return refused.withColumn("reason", F.lit(BAD_JSON))
+
+
 def is_object(v: Column) -> Column:
     return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
 

@@ -7,6 +7,7 @@ extraction needs no shuffle. The subtree of the node at index ``i`` is ``i+1 ..
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 from collections import Counter
@@ -32,6 +33,7 @@ RAW_TEXT = "#raw"  # text of script and style: not part of the page text
 # Elements without an end tag, and elements with raw text.
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = frozenset(["script", "style"])
+JSONLD_TYPE = "application/ld+json"
 
 # a number of so many digits is more than Python reads; eight say as much
 LONG_REFERENCE = re.compile(r"&#(\d{4000,})")
@@ -52,6 +54,29 @@ NODE_TYPE = T.StructType(
 )
 
 
+def plain_json(text: str) -> str:
+    """JSON that repeats keys or has numbers like NaN, as JSON without: the last of equal keys counts, and no number is
+    null. Any other text is returned as it is, JSON or not.
+    """
+    loose = False
+
+    def members(pairs: list[tuple[str, object]]) -> dict[str, object]:
+        nonlocal loose
+        found = dict(pairs)
+        loose = loose or len(found) < len(pairs)
+        return found
+
+    def no_number(_: str) -> None:
+        nonlocal loose
+        loose = True
+
+    try:
+        value = json.loads(text, object_pairs_hook=members, parse_constant=no_number)
+    except (ValueError, RecursionError):
+        return text
+    return json.dumps(value, ensure_ascii=False) if loose else text
+
+
 class _NodeBuffer(HTMLParser):
     """Collects the nodes of many pages column by column.
 
@@ -80,6 +105,7 @@ class _NodeBuffer(HTMLParser):
         self.stack: list[int] = []
         self.open_tags: Counter[str] = Counter()
         self.pending: list[str] = []
+        self.jsonld_at = -1
         self._open(DOCUMENT, [])
         self.error: str | None = None
         self.reset()
@@ -111,6 +137,8 @@ class _NodeBuffer(HTMLParser):
                 values["class"] = " ".join(names)
             self.attr_keys.extend(values)
             self.attr_values.extend(values.values())
+            if tag == "script" and values.get("type") == JSONLD_TYPE:
+                self.jsonld_at = at
         self.class_starts.append(len(self.classes))
         self.attr_starts.append(len(self.attr_keys))
         if tag not in VOID_TAGS:
@@ -161,6 +189,8 @@ class _NodeBuffer(HTMLParser):
         self.pending = []
         if piece:
             raw = self.tag[self.base + self.stack[-1]] in RAW_TAGS
+            if raw and self.stack[-1] == self.jsonld_at:
+                piece = plain_json(piece)
             self._add(RAW_TEXT if raw else TEXT, piece)
             self.class_starts.append(len(self.classes))
             self.attr_starts.append(len(self.attr_keys))

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from gondola.operators.cards import card_pages, card_products, cards, join_details
 from gondola.operators.details import detail_nodes, detail_prices, detail_records, jsonld_details, page_sku, span_price
+from gondola.operators.jsonld import refused_scripts
 from gondola.operators.listings import category_pages, json_window_listing, pod_listing, summary_listing
+from gondola.operators.nodes import element_rows
 from gondola.operators.select import sel
 from gondola.operators.template import DEFAULT_TEMPLATE, Template, extract_template, next_links
 from gondola.plans.saved_pages import saved_page_listing, saved_page_products
@@ -97,6 +99,30 @@ def test_jsonld_lists(spark):
     assert {r.page_id for r in rows} == {0}
 
 
+def test_jsonld_that_is_nearly_json(spark):
+    """The last of repeated keys counts, and NaN is a number that is not there."""
+    script = lambda t: f'<script type="application/ld+json">{t}</script>'
+    texts = [
+        '{"@type":"Product","name":"a","name":"b"}',
+        '{"@type":"Product","name":"c","offers":{"price":NaN,"x":[Infinity,-Infinity]}}',
+        '{"@type":"Product","name":"d","offers":{"price":2},"offers":{"price":12.90}}',
+        '{"@type":"Product","name":"e",}',
+        "[" * 20_000,
+        '{"@type":"Product","name":"f","price":1.50, "big":123456789012345678901234567890}',
+    ]
+    nodes = nodes_of(spark, "".join(map(script, texts)), '<script>{"a":1,"a":2}</script>')
+    rows = summary_listing(category_pages(nodes, ["page_id", "url"]), ["page_id", "url"]).orderBy("item_no").collect()
+    assert [(r.title, r.price) for r in rows] == [("b", None), ("c", None), ("d", 12.9), ("f", None)]
+    refused = refused_scripts(nodes, ["page_id"]).orderBy("script_no").collect()
+    assert [(r.page_id, r.script_no, r.text, r.reason) for r in refused] == [(0, 3, texts[3], "bad_json"), (0, 4, texts[4], "bad_json")]
+    details = jsonld_details(nodes_of(spark, *map(script, texts)), ["page_id"]).orderBy("page_id").collect()
+    assert [(r.name, r.price_online, r.bad_price) for r in details] == [
+        ("b", 0.0, False), ("c", 0.0, False), ("d", 12.9, False), (None, 0.0, False), (None, 0.0, False), ("f", 0.0, False),
+    ]
+    raw = element_rows(nodes).filter("tag = '#raw'").collect()
+    assert raw[-2].text == texts[5] and raw[-1].text == '{"a":1,"a":2}'  # other texts stay as they are
+
+
 def test_jsonld_detail_choice(spark):
     p = lambda n, t="Product", **k: {"@type": t, "name": n, **k}
     pages = [

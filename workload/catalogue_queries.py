@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gondola.operators.cards import card_pages, card_products, cards, join_details
 from gondola.operators.dedup import dedup_details, dedup_listing, dedup_products, drop_exact
 from gondola.operators.details import detail_nodes, detail_prices, detail_records, jsonld_details
+from gondola.operators.jsonld import refused_scripts
 from gondola.operators.listings import (
     category_pages,
     json_window_listing,
@@ -160,6 +161,30 @@ def jsonld_list(spark, sf_dir):
     return summary_listing(category_pages(nodes, ["page_id", "url"]), ["page_id", "url"])
 
 
+@query(
+    f"""
+WITH {PARTS}
+SELECT k AS page_id, name AS title, CASE WHEN k % 4 < 2 THEN price_text END AS price_text, CASE WHEN k % 4 < 2 THEN price END AS price
+FROM parts WHERE k % 4 < 3"""
+)
+def jsonld_loose(spark, sf_dir):
+    """Scripts with repeated keys and without numbers"""
+    nodes = page_nodes(render.loose_jsonld_pages(spark, sf_dir), "page_id", "url")
+    rows = summary_listing(category_pages(nodes, ["page_id", "url"]), ["page_id", "url"])
+    return rows.select("page_id", "title", "price_text", "price")
+
+
+@query(
+    f"""
+WITH {PARTS}
+SELECT k AS page_id, 0 AS script_no, '{{"@type":"Product" "name":"' || name || '"}}' AS text, 'bad_json' AS reason
+FROM parts WHERE k % 4 = 3"""
+)
+def jsonld_refused(spark, sf_dir):
+    """Scripts that are no JSON"""
+    return refused_scripts(page_nodes(render.loose_jsonld_pages(spark, sf_dir), "page_id"), ["page_id"])
+
+
 # What JSON-LD says about a part
 JSONLD_DETAIL = """
 ld AS (

@@ -151,6 +151,21 @@ def jsonld_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.withColumn("html", F.concat("html", close, F.lit("</script>" + TAIL)))
 
 
+def loose_jsonld_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page for each part, with one script: in turn strict JSON, a repeated name and price, a price that is no number,
+    and no JSON at all.
+    """
+    k = F.col("k")
+    script = (
+        F.when(k % 4 == 0, fmt('{"@type":"Product","name":"~","offers":{"price":"~"}}', "name", "price_text"))
+        .when(k % 4 == 1, fmt('{"@type":"Thing","name":"old","@type":"Product","name":"~","offers":{"price":1,"price":"~"}}', "name", "price_text"))
+        .when(k % 4 == 2, fmt('[{"@type":"Product","name":"~","offers":{"price":NaN}}]', "name"))
+        .otherwise(fmt('{"@type":"Product" "name":"~"}', "name"))
+    )
+    html = F.concat(F.lit(HEAD + '<script type="application/ld+json">'), script, F.lit("</script>" + TAIL))
+    return parts(spark, sf_dir).select(k.alias("page_id"), detail_url().alias("url"), html.alias("html"))
+
+
 def detail_url(k: str = "k") -> Column:
     return fmt(SHOP + "/prod-~/p", k)
 
