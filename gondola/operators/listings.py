@@ -71,6 +71,7 @@ DEFAULT_STORE = "Tottus"
 
 # JSON-like text. A product is looked for in this many characters from its name on.
 WINDOW_CHARS = 2000
+NAME_MARK = '"displayName"'
 # (the word is looked at first, so that windows are read at names only)
 NAME_WITH_WINDOW = rf'(?s)(?="displayName")(?=(.{{0,{WINDOW_CHARS}}}))"displayName"(?U:\s*):(?U:\s*)"[^"]+"'
 NAME = r'(?U)"displayName"\s*:\s*"([^"]+)"'
@@ -150,7 +151,7 @@ def json_window_records(html: Column | str) -> Column:
         ),
     )
     none = F.array().cast(_RECORD_TYPE)
-    return F.when(F.contains(html, F.lit('"displayName"')), found.cast(_RECORD_TYPE)).otherwise(none)
+    return F.when(F.contains(html, F.lit(NAME_MARK)), found.cast(_RECORD_TYPE)).otherwise(none)
 
 
 def summary_records() -> Column:

@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Spark cuts a ranked group on the map side up to this cap (spark.sql.optimizer.windowGroupLimitThreshold)
-MAP_SIDE_CAP = 1000
-SALTS = 1024
+# so many tasks hand what they have kept to one
+FAN = 32
 
 
 def last_pages(counts: DataFrame, category: str, first_page_counts: bool = True) -> DataFrame:
@@ -45,15 +44,24 @@ def first_pages(pages: DataFrame, cap: int) -> DataFrame:
 def first_per_category(rows: DataFrame, category: str, order: Sequence[str], cap: int) -> DataFrame:
     """The first ``cap`` rows of each category.
 
-    Small caps are applied by each task before the shuffle. For larger ones the group is first
-    cut within salted parts, so that a big category is spread over tasks.
+    A tree of partial tops: every task keeps its own first rows, ``FAN`` of them meet in one, ``FAN`` of those in the
+    next, and only what is left then meets by category. So no task reads more than some ``FAN`` tasks keep,
+    however large a category is.
     """
-    if cap > MAP_SIDE_CAP:
-        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
-        part = Window.partitionBy(category, "_salt").orderBy(*order)
-        rows = salted.withColumn("_rank", F.row_number().over(part)).filter(F.col("_rank") <= cap).drop("_salt", "_rank")
-    group = Window.partitionBy(category).orderBy(*order)
-    return rows.withColumn("_rank", F.row_number().over(group)).filter(F.col("_rank") <= cap).drop("_rank")
+    kept = partial_tops(rows.withColumn("_task", F.spark_partition_id()), category, order, cap)
+    return _top(kept, [category], order, cap).drop("_task")
+
+
+def partial_tops(rows: DataFrame, category: str, order: Sequence[str], cap: int) -> DataFrame:
+    """Rows that may be among the first ``cap`` of their category, by ``_task``, after two levels of the tree."""
+    for width in (FAN, FAN * FAN):
+        rows = _top(rows, [category, F.floor(F.col("_task") / width)], order, cap)
+    return rows
+
+
+def _top(rows: DataFrame, group: Sequence[str | Column], order: Sequence[str], cap: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return rows.withColumn("_rank", rank).filter(F.col("_rank") <= cap).drop("_rank")
 
 
 def first_rows(rows: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:

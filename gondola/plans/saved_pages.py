@@ -8,19 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gondola.operators.dedup import dedup_listing
-from gondola.operators.listings import json_window_records, or_else, pod_listing, pod_records
+from gondola.operators.listings import NAME_MARK, json_window_records, or_else, pod_listing, pod_records
 from gondola.operators.nodes import page_nodes
 
 
 def saved_page_listing(pages: DataFrame, keep: Sequence[str], base: Column) -> DataFrame:
     """Records found in JSON text stand in for pages without any pod record.
 
-    The JSON records are taken from the page text by the JVM before parsing; what travels
-    along is the short records, not the page.
+    Only the texts of pages that name products in JSON travel along with the nodes, and they are searched only
+    where no pod was found.
     """
-    texts = pages.withColumn("_json", json_window_records("html"))
-    nodes = page_nodes(texts, *keep, "_json")
-    return pod_listing(nodes, keep, base, or_else(pod_records(), F.col("_json")))
+    named = F.when(F.contains("html", F.lit(NAME_MARK)), F.col("html"))
+    nodes = page_nodes(pages.withColumn("_named", named), *keep, "_named")
+    return pod_listing(nodes, keep, base, or_else(pod_records(), json_window_records("_named")))
 
 
 def saved_page_products(pages: DataFrame, keep: Sequence[str], base: Column) -> DataFrame:

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gondola.functions.urls import url_slug
 from gondola.operators.paging import topped_up
+from gondola.operators.ranks import numbered
 from gondola.plans.sitemap_products import audit, category_products, discover, final_products, visit
 from gondola.session import materialise
 from gondola.sources.tables import export_products
 
 ORDER = ["turn", "ord", "page_no", "item_no"]
+# so many collections are read at first, and so many times as many each time they were not enough
+BATCH, GROWTH = 16, 4
 
 
 def sitemap_run(
@@ -29,21 +32,26 @@ def sitemap_run(
     """Products and discards, exported where a ``path`` is given.
 
     ``listings`` has the listing pages ``(category, page_no, url, html)``; a category is the slug of its collection URL.
-    While fewer than ``target`` products are there, whole collections follow in the order of the sitemaps.
+    While fewer than ``target`` products are there, whole collections follow in the order of the sitemaps. Their
+    listings are read in growing batches, so only a few are read beyond the last one that is needed.
     """
     found = discover(index, sitemaps)
     visited = materialise(visit(found.products, corpus, policies), "visited")
     products, discards = audit(visited, target, as_of)
     products = materialise(products.withColumn("turn", F.lit(0).cast("long")), "products")
-    if products.count() < target:
-        named = materialise(found.collections.select("ord", url_slug("url").alias("category")), "collections")
-        pages = listings.join(named.select("category").distinct(), "category", "left_semi")
-        cards = materialise(category_products(pages, corpus, base, policies, per_category, as_of), "cards")
-        # each turn brings a card at least: more than target turns are never needed, and the window sees no more
-        turns = named.join(cards.select("category").distinct(), "category", "left_semi").orderBy("ord", "category").limit(target)
-        turns = turns.withColumn("turn", F.row_number().over(Window.orderBy("ord", "category")).cast("long")).drop("ord")
-        shelf = materialise(cards.join(turns, "category").withColumn("collection", F.col("turn")), "shelf")
-        products = topped_up(products, shelf, "collection", target)
+    n_products = products.count()
+    if n_products < target:
+        named = found.collections.select("ord", url_slug("url").alias("category"))
+        named = materialise(numbered(named, ["ord", "category"], "turn", "collections"), "turns")
+        n_named, shelf, begin, batch = named.count(), None, 0, BATCH
+        while begin < n_named and n_products < target:  # ever more collections, until they have enough
+            turns = named.filter((F.col("turn") >= begin) & (F.col("turn") < begin + batch)).select("category", (F.col("turn") + 1).alias("turn"))
+            pages = listings.join(turns.select("category").distinct(), "category", "left_semi")
+            cards = category_products(pages, corpus, base, policies, per_category, as_of)
+            cards = materialise(cards.join(turns, "category").withColumn("collection", F.col("turn")), "shelf")
+            shelf = cards if shelf is None else shelf.unionByName(cards)
+            n_products, begin, batch = n_products + cards.count(), begin + batch, batch * GROWTH
+        products = products if shelf is None else topped_up(products, shelf, "collection", target)
     once = materialise(final_products(products, ORDER).drop(*ORDER), "final")
     if path is not None:
         export_products(once, discards.drop("ord"), path)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from gondola.session import materialise
-
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a result back. A missing file gives no rows."""
@@ -36,16 +34,25 @@ def write_parquet(df: DataFrame, path: str) -> None:
 WRITERS = {"csv": write_csv, "json": write_json, "parquet": write_parquet}
 
 
+READERS = {
+    "csv": lambda spark, path, schema: read_csv(spark, path, schema),
+    "json": lambda spark, path, schema: spark.read.schema(schema).json(path),
+    "parquet": lambda spark, path, schema: spark.read.schema(schema).parquet(path),
+}
+
+
 def write_if_any(df: DataFrame, path: str, form: str = "csv") -> bool:
     """Write only if there are rows.
 
-    The rows are computed once, into the shared folder; the test and the result read them there.
+    The rows are computed and written once, to their target. If it turns out to have none, it is removed again.
     """
-    rows = materialise(df, "out")
-    if rows.isEmpty():
-        return False
-    WRITERS[form](rows, path)
-    return True
+    spark = df.sparkSession
+    WRITERS[form](df, path)
+    if not READERS[form](spark, path, df.schema).isEmpty():
+        return True
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return False
 
 
 def export_products(products: DataFrame, discards: DataFrame, path: str) -> None:

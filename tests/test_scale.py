@@ -12,7 +12,7 @@ from gondola.operators.robots import host_policies, robots_rules, with_allowed
 from gondola.operators.select import first_text, page_scope, sel
 from gondola.operators.nodes import page_nodes
 from gondola.operators.stats import top_values
-from gondola.plans import sitemap_products
+from gondola.plans import sitemap_products, sitemap_run
 from gondola.session import materialise
 from tests.helpers import plan
 
@@ -152,3 +152,44 @@ def test_only_linked_products_are_parsed(spark):
     finally:
         sitemap_products.detail_nodes = old
     assert sorted(parsed) == urls[:2]
+
+
+def test_a_hot_category_is_cut_in_a_tree(spark):
+    """In 211 tasks with a hundred rows each of one category, no later task reads more than 32 tasks kept."""
+    rows = spark.range(0, 21100, 1, 211).select(F.lit("big").alias("c"), (F.col("id") * 7919 % 21100).alias("k"))
+    tasks = rows.withColumn("_task", F.spark_partition_id())
+    met = tasks.select("c", F.floor(F.col("_task") / P.FAN).alias("t")).groupBy("t").count().agg(F.max("count")).first()[0]
+    assert met == P.FAN * 100
+    left = P.partial_tops(tasks, "c", ["k"], 50)
+    assert left.count() == 50  # 211 tasks are fewer than 32 * 32: one group is left
+    got = P.first_per_category(rows, "c", ["k"], 50)
+    assert [r.k for r in got.orderBy("k").collect()] == list(range(50)) and got.columns == ["c", "k"]
+    assert plan(got).count("WindowGroupLimit") >= 3
+
+
+@pytest.mark.parametrize("target", [30, 45, 5000])
+def test_sitemap_run_reads_collections_in_batches(spark, monkeypatch, target):
+    """Target met on the way, overshot by a whole collection, and not met: as when all are read, reading few beyond."""
+    read = []
+
+    def spy(pages, *more, **named):
+        read.extend(r.category for r in pages.select("category").distinct().collect())
+        return sitemap_products.category_products(pages, *more, **named)
+
+    monkeypatch.setattr(sitemap_run, "category_products", spy)
+    results = []
+    for batch in (2, 10_000):
+        monkeypatch.setattr(sitemap_run, "BATCH", batch)
+        read.clear()
+        locs = "".join(f"<url><loc>https://h/col-{i}</loc></url>" for i in range(40)) + "<url><loc>https://h/a-1/p</loc></url>"
+        index = spark.createDataFrame([("h", "<sitemapindex><sitemap><loc>https://h/product.xml</loc></sitemap></sitemapindex>")], "host string, body string")
+        files = spark.createDataFrame([("https://h/product.xml", f"<urlset>{locs}</urlset>")], "sitemap_url string, body string")
+        corpus = spark.createDataFrame([("https://h/a-1/p", "<h1>first</h1>")], "url string, html string")
+        card = lambda c, n: f'<div class="product"><h3>n{c}-{n}</h3><a href="/n{c}-{n}/p">x</a><i class="price">S/ 2</i></div>'
+        listing = [(f"col-{c}", 1, f"https://h/col-{c}", "".join(card(c, n) for n in range(10))) for c in range(40)]
+        listing = spark.createDataFrame(listing, "category string, page_no int, url string, html string")
+        found, _ = sitemap_run.sitemap_run(index, files, corpus, listing, F.lit("https://h"), target)
+        results.append((sorted(r.name for r in found.collect()), len(read)))
+    (few, n_few), (every, n_every) = results
+    assert few == every and n_every == 40
+    assert n_few == {30: 10, 45: 10, 5000: 40}[target] and len(few) == {30: 31, 45: 51, 5000: 401}[target]
