@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +15,8 @@ from gondola.session import materialise
 from gondola.sources.tables import export_products
 
 ORDER = ["turn", "ord", "page_no", "item_no"]
-# so many collections are read at first, and so many times as many each time they were not enough
-BATCH, GROWTH = 16, 4
+# so many collections are read at first; then those that should be enough, with something to spare
+BATCH, SPARE = 16, 1.25
 
 
 def sitemap_run(
@@ -33,7 +35,8 @@ def sitemap_run(
 
     ``listings`` has the listing pages ``(category, page_no, url, html)``; a category is the slug of its collection URL.
     While fewer than ``target`` products are there, whole collections follow in the order of the sitemaps. Their
-    listings are read in growing batches, so only a few are read beyond the last one that is needed.
+    listings are read in batches, the next one as large as the products so far suggest, so few are read beyond the
+    last one that is needed.
     """
     found = discover(index, sitemaps)
     visited = materialise(visit(found.products, corpus, policies), "visited")
@@ -50,7 +53,10 @@ def sitemap_run(
             cards = category_products(pages, corpus, base, policies, per_category, as_of)
             cards = materialise(cards.join(turns, "category").withColumn("collection", F.col("turn")), "shelf")
             shelf = cards if shelf is None else shelf.unionByName(cards)
-            n_products, begin, batch = n_products + cards.count(), begin + batch, batch * GROWTH
+            n_cards = cards.count()
+            n_products, begin = n_products + n_cards, begin + batch
+            # as many more as should be enough if they are like these
+            batch = max(BATCH, math.ceil((target - n_products) * batch * SPARE / n_cards) if n_cards else batch * 4)
         products = products if shelf is None else topped_up(products, shelf, "collection", target)
     once = materialise(final_products(products, ORDER).drop(*ORDER), "final")
     if path is not None:

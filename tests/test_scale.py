@@ -192,4 +192,4 @@ def test_sitemap_run_reads_collections_in_batches(spark, monkeypatch, target):
         results.append((sorted(r.name for r in found.collect()), len(read)))
     (few, n_few), (every, n_every) = results
     assert few == every and n_every == 40
-    assert n_few == {30: 10, 45: 10, 5000: 40}[target] and len(few) == {30: 31, 45: 51, 5000: 401}[target]
+    assert n_few == {30: 4, 45: 5, 5000: 40}[target] and len(few) == {30: 31, 45: 51, 5000: 401}[target]
