@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gondola.llm import words as W
-from gondola.llm.graph import components
+from gondola.llm.graph import components, joined_components, short
 from gondola.session import materialise
 
 U = W.U
@@ -29,6 +29,9 @@ SIGNATURES = "doc long, k1 long, k2 long, n_shingles long, bands array<long>"
 NULL_ID = -(1 << 63)
 GOLDEN = U(0x9E3779B97F4A7C15)
 SMALL = 1 << 18  # bytes of text handled at once
+PART = 256  # members of a bucket that one group compares with the bucket's hubs
+MOST_HUBS = 256  # hubs of a bucket in one round
+TASK_TEXTS = 1000  # texts, or pairs of them, that one task should have before a second one is worth its start
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,12 +141,14 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return least / total if total else 0.0
 
 
-def _compared(size: int):
-    def multiset(text: str) -> tuple[np.ndarray, np.ndarray]:
-        data = np.frombuffer(text.encode(), np.uint8)
-        found, _, _ = shingles(data, np.array([0, len(data)]), size)
-        return np.unique(found, return_counts=True)
+def multiset(text: str, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of a text, sorted, and how often each occurs."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    found, _, _ = shingles(data, np.array([0, len(data)]), size)
+    return np.unique(found, return_counts=True)
+
 
+def _compared(size: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, of_hub = None, None
         for part in parts:
@@ -151,8 +156,8 @@ def _compared(size: int):
             out = []
             for k, key in enumerate(a.to_pylist()):
                 if key != hub:
-                    hub, of_hub = key, multiset(ta[k].as_py())
-                out.append(weighted_jaccard(of_hub, multiset(tb[k].as_py())))
+                    hub, of_hub = key, multiset(ta[k].as_py(), size)
+                out.append(weighted_jaccard(of_hub, multiset(tb[k].as_py(), size)))
             yield pa.RecordBatch.from_arrays([a, b, pa.array(out, pa.float64())], ["a", "b", "similarity"])
 
     return run
@@ -164,12 +169,13 @@ def _similar(pairs: DataFrame, texts: DataFrame, size: int, step: str) -> DataFr
     The pairs are written, so that Spark knows their size: if they are few, the texts stay where they are.
     """
     pairs = materialise(pairs, f"pairs-{step}")
-    return (
+    met = (
         pairs.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
         .join(texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
         .select("a", "b", "text_a", "text_b")
-        .mapInArrow(_compared(size), "a long, b long, similarity double")
     )
+    compared = short(met, pairs.count(), TASK_TEXTS).mapInArrow(_compared(size), "a long, b long, similarity double")
+    return materialise(compared, f"compared-{step}")
 
 
 def _weights(size: int):
@@ -191,17 +197,73 @@ def _weights(size: int):
 BUCKET = ["band", "code"]
 
 
-def _unsettled(members: DataFrame, parts: DataFrame, step: str) -> DataFrame:
-    """Members of buckets that hold more than one component, with theirs and the largest of the bucket."""
+def _unsettled(members: DataFrame, n_members: int, parts: DataFrame, step: str) -> DataFrame:
+    """Members of buckets that hold more than one component, with theirs, and the bucket's largest and its size."""
     names = members.columns
-    placed = members.join(parts.withColumnRenamed("node", "doc"), "doc", "left")
-    placed = materialise(placed.select(*names, F.coalesce("component", "doc").alias("component")), f"placed-{step}")
+    placed = members.join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(*names, F.coalesce("component", "doc").alias("component"))
     shares = placed.groupBy(*BUCKET, "component").agg(F.count("*").alias("n"))
     open_ = shares.groupBy(*BUCKET).agg(
-        F.max(F.struct("n", "component")).getField("component").alias("largest"), F.count("*").alias("n_components")
+        F.max(F.struct("n", "component")).getField("component").alias("largest"),
+        F.count("*").alias("n_components"),
+        F.sum("n").alias("n_bucket"),
     )
-    open_ = materialise(open_.filter("n_components > 1").drop("n_components"), f"open-{step}")
-    return materialise(placed.join(open_, BUCKET), f"unsettled-{step}")
+    open_ = materialise(short(open_.filter("n_components > 1").drop("n_components"), n_members // 2), f"open-{step}")
+    return materialise(short(placed.join(open_, BUCKET), n_members), f"unsettled-{step}")
+
+
+MEMBER = ["doc", "n_shingles", "n_common", "component", "bands", "text"]
+
+
+def _met(size: int, threshold: float):
+    """The links between the hubs of a bucket and a part of its members.
+
+    Two documents are compared in the first of the buckets they share; what they have in others is left to it.
+    """
+
+    def run(key: tuple, members: pa.Table, hubs: pa.Table) -> pa.Table:
+        band = key[0].as_py()
+        rows, of_hubs = (
+            list(zip(*(t.column(c).to_pylist() for c in MEMBER[:4]), np.array(t.column("bands").to_pylist()), t.column("text").to_pylist(), strict=True))
+            for t in (members, hubs)
+        )
+        known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def bag(row: tuple) -> tuple[np.ndarray, np.ndarray]:
+            if row[0] not in known:
+                known[row[0]] = multiset(row[5], size)
+            return known[row[0]]
+
+        hub_ids = {a[0] for a in of_hubs}
+        out: list[tuple[int, int, float]] = []
+        for b in rows:
+            for a in of_hubs:
+                most = min(a[2], b[2])  # no pair has more in common
+                if a[3] == b[3] or (b[0] in hub_ids and b[0] <= a[0]) or most < threshold * (a[1] + b[1] - most):
+                    continue
+                if int(np.argmax(a[4] == b[4])) != band:
+                    continue
+                similarity = weighted_jaccard(bag(a), bag(b))
+                if similarity >= threshold:
+                    out.append((min(a[0], b[0]), max(a[0], b[0]), similarity))
+        low, high, similarity = zip(*out, strict=True) if out else ((), (), ())
+        return pa.table({"a": pa.array(low, pa.int64()), "b": pa.array(high, pa.int64()), "similarity": pa.array(similarity, pa.float64())})
+
+    return run
+
+
+def _links_of_hubs(placed: DataFrame, hubs: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
+    """a, b, similarity of the links between hubs and other members of their buckets.
+
+    A bucket's members are dealt to parts of some ``PART`` of them, and its hubs go to each part. So a part
+    compares a bounded block, and no row is made for a pair that is not linked.
+    """
+    parts = F.ceil(F.col("n_bucket") / PART)
+    named = [*BUCKET, "part", *MEMBER]
+    members = placed.withColumn("part", F.pmod(F.xxhash64("doc"), parts)).join(texts, "doc").select(*named)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))
+    at_hubs = hubs.withColumn("part", every).join(texts, "doc").select(*(F.col(c).alias(f"hub_{c}" if c in BUCKET or c == "part" else c) for c in named))
+    groups = members.groupBy(*BUCKET, "part").cogroup(at_hubs.groupBy("hub_band", "hub_code", "hub_part"))
+    return groups.applyInArrow(_met(size, threshold), "a long, b long, similarity double")
 
 
 def _linkable(members: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
@@ -220,7 +282,7 @@ def _linkable(members: DataFrame, texts: DataFrame, size: int, threshold: float)
 
 
 def near_pairs(
-    distinct: DataFrame, texts: DataFrame, size: int, threshold: float, first_hubs: int = 8
+    distinct: DataFrame, texts: DataFrame, size: int, threshold: float, first_hubs: int = 16
 ) -> tuple[DataFrame, DataFrame]:
     """Links (a, b, similarity), and the component of every linked document.
 
@@ -228,10 +290,10 @@ def near_pairs(
     id as hub and compares it with every member. Later rounds only look at buckets whose members still belong to
     more than one component. Members with too many shingles of their own to be similar to any other leave them first
     (``_linkable``). The rounds leave the largest component of the bucket as it is, take some members of the others
-    as hubs, and compare these with all members of other components. A member that has been a hub is done
-    with, as it has met everything that could join it. This ends when each bucket is one component or has
-    no hub left, so two similar documents that share a bucket always end in one component, though a
-    bucket emits no more pairs a member and round than it has hubs: ``first_hubs``, then twice as many each round.
+    as hubs, and compare these with all members of other components, in blocks (``_links_of_hubs``). A member that has been
+    a hub is done with, as it has met everything that could join it. This ends when each bucket is one component
+    or has no hub left, so two similar documents that share a bucket always end in one component. A bucket has ``first_hubs``
+    in the first of these rounds, and four times as many in each that follows, up to ``MOST_HUBS``.
     """
     members = materialise(distinct.select("doc", "n_shingles", F.posexplode("bands").alias("band", "code")), "buckets")
     hubs = members.groupBy(*BUCKET).agg(F.min(F.struct("doc", "n_shingles")).alias("hub"), F.count("*").alias("n"))
@@ -243,40 +305,31 @@ def near_pairs(
     wanted = met.select(F.col("a").alias("doc")).unionByName(met.select(F.col("b").alias("doc"))).distinct()
     wanted = materialise(wanted, "wanted")  # of known size: few ids don't shuffle all texts
     texts = materialise(texts.join(wanted, "doc", "left_semi"), "candidates")
-    compared = materialise(_similar(met.filter(close).select("a", "b").distinct(), texts, size, "0"), "compared-0")
-    members = met.select(*BUCKET, F.col("b").alias("doc"), "n_shingles")
-    most = F.least("n_common", "common_a")  # no pair has more in common
-    close = most >= threshold * (F.col("n_shingles") + F.col("n_a") - most)
+    compared = _similar(met.filter(close).select("a", "b").distinct(), texts, size, "0")
+    links = compared.filter(F.col("similarity") >= threshold)
+    n_links = links.count()
+    parts = materialise(short(components(links.select("a", "b"), n_links), 2 * n_links), "components-0")
+    placed = _unsettled(met.select(*BUCKET, F.col("b").alias("doc"), "n_shingles"), met.count(), parts, "0")
+    if not placed.isEmpty():
+        linkable = _linkable(placed, texts, size, threshold)
+        placed = _unsettled(linkable, linkable.count(), parts, "linkable")
+        wanted = placed.select("doc").distinct()
+        texts = texts.join(wanted, "doc", "left_semi").join(distinct.select("doc", "bands"), "doc")
+        texts = materialise(short(texts, placed.count(), TASK_TEXTS), "unsettled-texts")
     round_no = 0
-    more = compared
-    while True:
-        links = compared.filter(F.col("similarity") >= threshold)
-        if round_no == 0 or not more.filter(F.col("similarity") >= threshold).isEmpty():
-            parts = materialise(components(links.select("a", "b")), f"components-{round_no}")
-        placed = _unsettled(members, parts, str(round_no))
-        if round_no == 0 and not placed.isEmpty():
-            placed = _unsettled(_linkable(placed, texts, size, threshold), parts, "linkable")
-        if placed.isEmpty():
-            return links, parts
+    while n_placed := placed.count():
         round_no += 1
-        hubs_now = first_hubs * 2 ** (round_no - 1)
+        hubs_now = min(first_hubs * 4 ** (round_no - 1), MOST_HUBS)
         turn = Window.partitionBy(*BUCKET).orderBy("doc")
         hubs = placed.filter("component <> largest").withColumn("turn", F.row_number().over(turn))
-        hubs = hubs.filter(F.col("turn") <= hubs_now).select(
-            *BUCKET,
-            F.col("doc").alias("a"),
-            F.col("n_shingles").alias("n_a"),
-            F.col("n_common").alias("common_a"),
-            F.col("component").alias("of_a"),
-        )
-        hubs = materialise(hubs, f"hubs-{round_no}")
-        pairs = placed.join(hubs, BUCKET).filter((F.col("component") != F.col("of_a")) & close)
-        pairs = pairs.select(F.least("a", "doc").alias("a"), F.greatest("a", "doc").alias("b")).distinct()
-        pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        more = materialise(_similar(pairs, texts, size, str(round_no)), f"compared-{round_no}")
-        compared = compared.unionByName(more)
-        done = hubs.select(*BUCKET, F.col("a").alias("doc"))
-        members = placed.drop("component", "largest").join(done, [*BUCKET, "doc"], "left_anti")
+        hubs = materialise(short(hubs.filter(F.col("turn") <= hubs_now).drop("turn"), n_placed), f"hubs-{round_no}")
+        more = materialise(_links_of_hubs(placed, hubs, texts, size, threshold), f"linked-{round_no}")
+        if n_links := more.count():
+            links = links.unionByName(more)
+            parts = materialise(joined_components(parts, more.select("a", "b"), n_links), f"components-{round_no}")
+        members = placed.drop("component", "largest", "n_bucket").join(hubs.select(*BUCKET, "doc"), [*BUCKET, "doc"], "left_anti")
+        placed = _unsettled(members, n_placed, parts, str(round_no))
+    return links, parts
 
 
 def near_duplicates(

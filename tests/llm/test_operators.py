@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gondola.llm import bagminhash, decontaminate, exact_dedup, graph, language, line_dedup, main_text, packing, phrases, quality, toxicity
 from gondola.llm.queries import tokenizer_path
+from gondola.session import materialise
 from tests.conftest import SF_SMALL
 
 SCHEMA = "doc_id long, text string, size int, n_lines int, lang string"
@@ -355,3 +356,42 @@ def test_components(spark):
     table = spark.createDataFrame([*edges, *edges], "a long, b long")
     assert {r.node: r.component for r in graph.components(table).collect()} == parent
     assert graph.components(table.limit(0)).count() == 0
+
+
+def test_components_after_new_links(spark):
+    """Contracted links give what all links give: new nodes, old ones, links inside a component and repeated ones."""
+    rng = random.Random(9)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(260)]
+    table = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    parts = graph.components(table(links[:60]))
+    for low in range(60, 260, 100):
+        parts = materialise(graph.joined_components(parts, table(links[low : low + 100]), 100), "parts")
+    whole = {r.node: r.component for r in graph.components(table(links)).collect()}
+    got = parts.collect()
+    assert len(got) == len(whole) and {r.node: r.component for r in got} == whole
+
+
+def test_a_loose_group_loses_no_link(spark, monkeypatch):
+    """Texts of one origin, near and not so near to each other: the classes are those of all pairs, in a few written tables."""
+    rng = np.random.default_rng(8)
+    origin = rng.choice(WORDS, 60)
+    texts = {}
+    for i in range(800):
+        words_of = origin.copy()
+        for k in rng.choice(60, rng.integers(0, 5), replace=False):
+            words_of[k] = f"x{rng.integers(0, 30)}"
+        texts[i] = " ".join(words_of)
+    written = []
+    for module in (bagminhash, graph):
+        monkeypatch.setattr(module, "materialise", lambda df, name: (written.append(name), materialise(df, name))[1])
+    found = bagminhash.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    grams = {i: collections.Counter(zip(*(t.split()[k:] for k in range(5)), strict=False)) for i, t in texts.items()}
+    least = {i: i for i in texts}
+    find = lambda i: i if least[i] == i else find(least[i])
+    for a, b in itertools.combinations(texts, 2):
+        common = sum((grams[a] & grams[b]).values())
+        if common >= 0.8 * (112 - common):
+            least[max(find(a), find(b))] = min(find(a), find(b))
+    assert {r.doc_id: r.class_id for r in found} == {i: find(i) for i in texts}
+    rounds = [n for n in written if n.startswith("hubs-")]
+    assert len(rounds) <= 5 and len(written) <= 30 + 10 * len(rounds)
