@@ -14,10 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gondola.llm import words as W
+from gondola.operators.paging import first_per_category
 
 #: n-gram lengths with their kernel weights, and the hashed presence columns of each
 SPECTRUM = ((1, 1.0), (2, 1.0), (3, 2.0))
@@ -111,15 +112,14 @@ def train(
     """A model from at most ``per_language`` texts of each language among rows where ``learn`` holds.
 
     The sample is that of the smallest text hashes, so it does not depend on the order of rows; each task
-    gives at most that many before they meet. The driver gets packed presence rows, not texts.
+    gives at most that many before they meet, in a tree, so that no task reads those of all others. The driver gets packed presence rows, not texts.
     None if there is no row to learn from.
     """
     rows = docs.filter(learn).select(F.col(lang_col).alias("lang"), F.lower(text_col).alias("text"))
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL").filter(F.col("text").rlike(r"\p{L}"))
     picks = rows.select("lang", F.xxhash64("text").alias("pick")).distinct()
-    order = Window.partitionBy("lang").orderBy("pick")
-    picks = picks.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_language)
-    picks = F.broadcast(picks.select("lang", "pick"))  # at most per_language rows a language
+    picks = first_per_category(picks, "lang", ["pick"], per_language)
+    picks = F.broadcast(picks)  # at most per_language rows a language
     sample = rows.withColumn("pick", F.xxhash64("text")).join(picks, ["lang", "pick"])
     sample = sample.dropDuplicates(["lang", "pick"]).mapInArrow(_packed, "lang string, bits binary")
     got = sorted((r.lang, bytes(r.bits)) for r in sample.collect())  # at most per_language rows a language

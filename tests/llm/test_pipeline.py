@@ -72,3 +72,42 @@ def test_pipeline(spark, tmp_path):
     for held in bins.values():
         held.sort()
         assert held[0][0] == 0 and all(a + n == b for (a, n), (b, _) in itertools.pairwise(held)) and sum(n for _, n in held) <= 2048
+
+
+def test_near_dedup_of_odd_ids(spark):
+    """Null ids, repeated ids, repeated rows, near copies among them, and clashing columns."""
+    near = " ".join(words(passage(22, 200))[:195])
+    rows = [
+        (1, passage(22, 200)), (None, near), (None, near), (None, passage(30, 80)), (None, passage(30, 80)),
+        (None, passage(31, 90) + " end"), (5, passage(31, 90)), (7, passage(40, 60)), (7, passage(41, 60)), (7, passage(41, 60)),
+        (9, passage(41, 60)), (None, None), (None, ""), (11, ""), (12, None),
+    ]
+    docs = spark.createDataFrame([(*r, "k", 1) for r in rows], "doc_id long, text string, class_id string, n_links int").repartition(4)
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert got.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=repr)
+    want = [(1, passage(22, 200)), (None, passage(30, 80)), (5, passage(31, 90)), (7, passage(40, 60)), (9, passage(41, 60)), (11, ""), (12, None)]
+    assert [k for k in kept if k[1] or k[0]] == sorted(want, key=repr) and 1 <= len([k for k in kept if not (k[1] or k[0])]) <= 2
+    assert corpus_pipeline.near_dedup(spark, docs.limit(0), "").collect() == []
+
+
+def test_no_language_to_learn(spark):
+    rows = [(1, "words here", None, "x", 0.5), (2, "123", None, "y", 0.5), (3, None, None, "z", 0.5), (4, "", None, "z", 0.5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string, score double")
+    assert [tuple(r) for r in corpus_pipeline.language_id(spark, docs, "").collect()] == [rows[0]]
+    told = spark.createDataFrame([(i, f"text number {'abc'[i % 3]} {i}", "en", "own", 7.0) for i in range(20)], docs.schema)
+    got = corpus_pipeline.language_id(spark, told, "").collect()
+    assert len(got) == 20 and {(r.lang_pred, r.score) for r in got} == {("own", 7.0)}
+
+
+def test_line_dedup_keeps_clashing_columns(spark):
+    rows = [(i, f"{LINE}\nown {i}", "l", "s", 0, 5, "n") for i in range(4)]
+    docs = spark.createDataFrame(rows, COLUMNS + ", n_lines int, n_dropped string")
+    got = sorted(map(tuple, corpus_pipeline.line_dedup_stage(spark, docs, "").collect()))
+    assert got == [(i, f"own {i}", "l", "s", 5, 5, "n") for i in range(3)] + [(3, rows[3][1], "l", "s", len(rows[3][1]), 5, "n")]
+
+
+def test_empty_documents(spark, tmp_path):
+    spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
