@@ -200,7 +200,8 @@ BUCKET = ["band", "code"]
 def _unsettled(members: DataFrame, n_members: int, parts: DataFrame, step: str) -> DataFrame:
     """Members of buckets that hold more than one component, with theirs, and the bucket's largest and its size."""
     names = members.columns
-    placed = members.join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(*names, F.coalesce("component", "doc").alias("component"))
+    placed = members.join(parts.withColumnRenamed("node", "doc"), "doc", "left")
+    placed = materialise(short(placed.select(*names, F.coalesce("component", "doc").alias("component")), n_members), f"placed-{step}")
     shares = placed.groupBy(*BUCKET, "component").agg(F.count("*").alias("n"))
     open_ = shares.groupBy(*BUCKET).agg(
         F.max(F.struct("n", "component")).getField("component").alias("largest"),
