@@ -32,8 +32,9 @@ def exact_dedup(
     smallest id. ``digest`` is the SHA-256 of the text without white space, for rows whose full content
     was compared, or for all with ``digest_all``.
 
-    Null texts count as empty. A null id sorts before the others of equal length. Rows that repeat both
-    id and text are one document twice: both come out, with the same keep_id and the same ``kept``.
+    Null texts count as empty. A null id sorts before the others of equal length. Rows that repeat an id all come
+    out; of equal texts one row stays and no other, even if its id is theirs too (of rows equal in id and length, the one
+    written first).
     Other columns are neither read nor returned, so their names don't matter. An empty table gives none.
 
     The first pass leaves only (length, hash) behind, counted with partial sums. The second reads
@@ -58,14 +59,15 @@ def exact_dedup(
             "points",
             F.coalesce("doubtful", F.lit(False)).alias("doubtful"),
             F.when(wanted, F.sha2("bare", 256)).alias("digest"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "digests",
     )
     groups = (
         digested.filter("doubtful")
         .groupBy("digest")
-        .agg(F.count("*").alias("group_size"), F.min(F.struct(-F.col("points"), "doc_id")).alias("best"))
-        .select("digest", "group_size", F.col("best.doc_id").alias("keep_id"), F.lit(True).alias("found"))
+        .agg(F.count("*").alias("group_size"), F.min(F.struct(-F.col("points"), "doc_id", "row")).alias("best"))
+        .select("digest", "group_size", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"), F.lit(True).alias("found"))
     )
     groups = materialise(groups, "groups")  # so that the join below may split a hot group
     keep = F.when(F.col("found"), F.col("keep_id")).otherwise(F.col("doc_id"))
@@ -73,6 +75,6 @@ def exact_dedup(
         "doc_id",
         keep.alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        F.col("doc_id").eqNullSafe(keep).alias("kept"),
+        F.coalesce(F.col("row") == F.col("keep_row"), F.lit(True)).alias("kept"),
         "digest",
     )

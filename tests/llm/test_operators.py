@@ -75,6 +75,14 @@ def test_exact_dedup(docs, none):
     assert exact_dedup.exact_dedup(none).count() == 0
 
 
+def test_one_row_of_equal_texts_stays(spark):
+    rows = [(1, "a b"), (1, "ab"), (2, "ab "), (1, "a b"), (None, "x"), (None, "x"), (4, "x"), (5, "other"), (5, "third")]
+    for parts in (1, 4):
+        got = exact_dedup.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+        kept = sorted(((r.doc_id, r.keep_id, r.group_size) for r in got if r.kept), key=repr)
+        assert len(got) == len(rows) and kept == [(1, 1, 4), (5, 5, 1), (5, 5, 1), (None, None, 3)]
+
+
 def test_line_dedup(docs, none):
     kept = line_dedup.apply_bitmaps(docs, line_dedup.line_bitmaps(docs))
     assert set(kept.columns) == {*docs.columns, "n_dropped"}
