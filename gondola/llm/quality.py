@@ -12,10 +12,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gondola.llm import words as W
+from gondola.operators.paging import first_per_category
 from gondola.session import materialise
 
 BITS = 16
@@ -129,8 +130,12 @@ def _packed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label_col: str, learn: Column, id_col: str, text_col: str) -> DataFrame:
-    """y (0 or 1) and text of the labelled rows to learn from, written once; null labels go, null texts are empty."""
+    """y (0 or 1) and text of the labelled rows to learn from, written once; null labels go, null texts are empty.
+
+    An id with several labels counts once if they agree, else not at all. Null ids have no label.
+    """
     chosen = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("y")).filter("y IN (0, 1)")
+    chosen = chosen.groupBy("__id").agg(F.min("y").alias("y"), F.max("y").alias("most")).filter("y = most").drop("most")
     rows = docs.filter(learn).select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # one plan at every size: labels grow with the documents
     return materialise(rows.join(chosen.hint("merge"), "__id").select("y", "text"), "labelled")
@@ -153,10 +158,8 @@ def train(
         return None
     share = (counts[:, :-1] + alpha) / (counts[:, -1:] + 2 * alpha)
     ratios = np.log(share[1] / share[0])
-    order = Window.partitionBy("y").orderBy("pick")
     picks = rows.select("y", F.xxhash64("text").alias("pick")).distinct()
-    picks = picks.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_class)
-    picks = F.broadcast(picks.select("y", "pick"))  # at most per_class rows a class
+    picks = F.broadcast(first_per_category(picks, "y", ["pick"], per_class))  # at most per_class rows a class
     sample = rows.withColumn("pick", F.xxhash64("text")).join(picks, ["y", "pick"])
     sample = sample.dropDuplicates(["y", "pick"]).select("y", "text").mapInArrow(_packed, "y int, columns binary")
     got = sorted((r.y, bytes(r.columns)) for r in sample.collect())  # at most per_class rows a class

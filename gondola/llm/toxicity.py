@@ -10,8 +10,9 @@ quotation marks it counts as quoted, else as abuse. A logistic model weighs the
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gondola.operators.paging import first_per_category
 from gondola.session import materialise
 
 WORD = re.compile(r"\w+")
@@ -142,21 +144,26 @@ class Lexicon:
 @dataclass
 class Model:
     lexicon: Lexicon
-    safe: set[str]  # words of clean rows that only look like a term
+    clean: DataFrame  # a written table: words at least as frequent in clean rows as in toxic ones
     weights: np.ndarray
 
-    def score(self, counts: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(inputs(counts) @ self.weights, -30, 30)))
-
 
 def inputs(counts: np.ndarray) -> np.ndarray:
     return np.concatenate([np.ones((len(counts), 1)), np.log2(1 + counts)], axis=1)
 
 
+@dataclass
+class Found:
+    """Matches of a text: exact and exact quoted ones, and each fuzzy word with its plain and quoted ones."""
+
+    exact: list[int]
+    fuzzy: dict[str, list[int]]
+
+
 class Matcher:
-    """Counts of each text: exact, exact quoted, fuzzy, fuzzy quoted. Each word is classified once."""
+    """Finds the matches of texts. Each word is classified once; ``safe`` words only look like a term."""
 
-    def __init__(self, lexicon: Lexicon, safe: set[str]) -> None:
+    def __init__(self, lexicon: Lexicon, safe: Set[str] = frozenset()) -> None:
         self.lexicon, self.safe = lexicon, safe
         self.seen: set[str] = set()
         self.kinds: dict[str, int] = {}
@@ -169,26 +176,36 @@ class Matcher:
         self.kinds |= dict.fromkeys(exact, 0) | dict.fromkeys(self.lexicon.near(list(new - exact - self.safe)), 2)
         self.seen |= new
 
-    def counts(self, texts: list[str]) -> list[list[int]]:
-        return [row for part in slices(texts) for row in self._counts([t.lower() for t in part])]
+    def found(self, texts: list[str]) -> Iterator[Found]:
+        for part in slices(texts):
+            low = [t.lower() for t in part]
+            words = [words_of(t) for t in low]
+            self.classify(set().union(*words))
+            for text, here in zip(low, words, strict=True):
+                yield Found([0, 0], {}) if self.kinds.keys().isdisjoint(here) else self._matches(text)
 
-    def _counts(self, texts: list[str]) -> list[list[int]]:
-        words = [words_of(t) for t in texts]
-        self.classify(set().union(*words))
-        return [self._matches(t) if not self.kinds.keys().isdisjoint(w) else [0, 0, 0, 0] for t, w in zip(texts, words, strict=True)]
+    def counts(self, texts: list[str]) -> list[list[int]]:
+        """Of each text: exact, exact quoted, fuzzy, fuzzy quoted."""
+        return [[*f.exact, *(sum(n[k] for n in f.fuzzy.values()) for k in (0, 1))] for f in self.found(texts)]
 
-    def _matches(self, text: str) -> list[int]:
-        out = [0, 0, 0, 0]
-        for m in WORD.finditer(text):
-            kind = self.kinds.get(m[0])
-            if kind is not None:
-                out[kind + in_quotes(text, m)] += 1
+    def _matches(self, text: str) -> Found:
+        out, spans = Found([0, 0], {}), []
         for m in masked(text):
-            kind = self.kinds.get(m[0])
-            if kind is not None and self.kinds.keys().isdisjoint(WORD.findall(m[0])):  # else its pieces have counted
-                out[kind + in_quotes(text, m)] += 1
+            pieces = [self.kinds.get(p) for p in WORD.findall(m[0])]
+            if 0 not in pieces and m[0] in self.kinds:  # else its pieces count
+                spans.append(m.span())
+                self._add(out, text, m)
+        ends, starts = [e for _, e in spans], [s for s, _ in spans]
+        for m in WORD.finditer(text):
+            k = bisect_right(starts, m.start())
+            if m[0] in self.kinds and not (k and m.end() <= ends[k - 1]):
+                self._add(out, text, m)
         return out
 
+    def _add(self, out: Found, text: str, m: re.Match) -> None:
+        counted = out.fuzzy.setdefault(m[0], [0, 0]) if self.kinds[m[0]] else out.exact
+        counted[in_quotes(text, m)] += 1
+
 
 def masked(text: str) -> Iterator[re.Match]:
     """Words with masks inside, such as id!ot or st*pid."""
@@ -278,16 +295,6 @@ def _terms_of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array([pick] * len(terms)), pa.array(terms, pa.string())], ["pick", "term"])
 
 
-def _lookalikes(lexicon):
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: Lexicon = lexicon.value
-        for part in parts:
-            words = list(known.near([w for w in part.column("word").to_pylist() if not known.exact(w)]))
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string())], ["word"])
-
-    return run
-
-
 def covering(terms_of: dict[int, list[str]], times: int, least: int, most: int) -> list[str]:
     """Terms that cover every text ``times`` over, the one that covers most first (then the longer one)."""
     holds: dict[str, set[int]] = {}
@@ -322,11 +329,11 @@ def train(
 ) -> Model | None:
     """A model from rows of y (0 or 1) and text. None without rows of both classes.
 
-    Word counts are over all rows. Terms are chosen to cover at most ``per_class`` toxic texts (those of
+    Word counts are over all rows, and so are the words that clear a fuzzy match: those at least as frequent in clean
+    rows. Terms are chosen to cover at most ``per_class`` toxic texts (those of
     the smallest text hashes), each with its ``per_text`` most frequent candidates, and the logistic model is fitted
     on at most that many texts of each class.
     """
-    spark = rows.sparkSession
     totals = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not totals.get(0) or not totals.get(1):
         return None
@@ -345,9 +352,7 @@ def train(
     candidates = words.select(F.col("word").alias("term"), "low", "high").unionByName(starts)
     candidates = candidates.filter((F.col("high") >= min_support) & (odds >= min_log_odds)).select("term", "high")
     picked = rows.withColumn("pick", F.xxhash64("text"))
-    order = Window.partitionBy("y").orderBy("pick")
-    picks = picked.select("y", "pick").distinct().withColumn("place", F.row_number().over(order))
-    picks = picks.filter(F.col("place") <= per_class).select("y", "pick")
+    picks = first_per_category(picked.select("y", "pick").distinct(), "y", ["pick"], per_class)
     sample = materialise(picked.join(F.broadcast(picks), ["y", "pick"]).dropDuplicates(["y", "pick"]), "sample")
     held = sample.filter("y = 1").mapInArrow(_terms_of, "pick long, term string").join(candidates, "term")
     by_text = Window.partitionBy("pick").orderBy(F.desc("high"), F.desc(F.length("term")), "term")
@@ -356,58 +361,65 @@ def train(
     for r in held.select("pick", "term").collect():  # at most per_class x per_text
         terms_of.setdefault(r.pick, []).append(r.term)
     lexicon = Lexicon(covering(terms_of, times, min(3, min_support), most_terms))
-    shared = spark.sparkContext.broadcast(lexicon)
-    alike = words.filter("low > 0 AND low >= high").select("word").mapInArrow(_lookalikes(shared), "word string")
-    safe = {r.word for r in alike.collect()}  # words within the edit distance of at most most_terms terms
-    matcher = Matcher(lexicon, safe)
-    got = sample.select("y", "pick", "text").mapInArrow(
-        _counted(spark.sparkContext.broadcast(matcher), ["y", "pick"]), "y int, pick long, counts array<int>"
-    )
-    got = sorted((r.y, r.pick, r.counts) for r in got.collect())  # at most per_class rows a class
+    clean = words.filter("low > 0 AND low >= high").select("word")
+    got = counted(sample.select("y", "pick", "text"), lexicon, clean)
+    got = sorted((r.y, r.pick, [r[c] for c in COUNTS]) for r in got.collect())  # at most per_class rows a class
     weights = fitted(np.array([g[2] for g in got], float), np.array([g[0] for g in got], float))
-    return Model(lexicon, safe, weights)
-
+    return Model(lexicon, clean, weights)
 
-def _counted(matcher, names: list[str]):
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Matcher(matcher.value.lexicon, matcher.value.safe)
-        for part in parts:
-            found = m.counts(part.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + [pa.array(found, pa.list_(pa.int32()))], [*names, "counts"])
 
-    return run
+COUNTS = ["n_exact", "n_exact_quoted", "n_fuzzy", "n_fuzzy_quoted"]
 
 
-def _scored(model):
+def _found(lexicon, names: list[str]):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: Model = model.value
-        m = Matcher(known.lexicon, known.safe)
+        m = Matcher(lexicon.value)
         for part in parts:
-            counts = np.array(m.counts(part.column("text").to_pylist()), float).reshape(-1, 4)
+            found = list(m.found(part.column("text").to_pylist()))
+            words = [[{"word": w, "plain": n[0], "quoted": n[1]} for w, n in f.fuzzy.items()] for f in found]
+            kind = pa.list_(pa.struct([("word", pa.string()), ("plain", pa.int64()), ("quoted", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(known.score(counts))]
-                + [pa.array(counts[:, k].astype(np.int64)) for k in range(4)],
-                ["doc_id", "score", "n_exact", "n_exact_quoted", "n_fuzzy", "n_fuzzy_quoted"],
+                [part.column(n) for n in names] + [pa.array([f.exact[k] for f in found], pa.int64()) for k in (0, 1)] + [pa.array(words, kind)],
+                [*names, *COUNTS[:2], "fuzzy"],
             )
 
     return run
 
 
-COUNTS = ["n_exact", "n_exact_quoted", "n_fuzzy", "n_fuzzy_quoted"]
+def counted(rows: DataFrame, lexicon: Lexicon, clean: DataFrame) -> DataFrame:
+    """The columns of ``rows`` but its text, and COUNTS. A fuzzy match counts unless its word is one of ``clean``.
+
+    Clean words stay a table, as they grow with the corpus: those that match anywhere are looked up by a join, so that
+    only matches, not texts, are shuffled. Rows without a fuzzy match are not joined.
+    """
+    spark, names = rows.sparkSession, [c for c in rows.columns if c != "text"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*names).schema)
+    schema += ", n_exact long, n_exact_quoted long, fuzzy array<struct<word: string, plain: bigint, quoted: bigint>>"
+    found = rows.mapInArrow(_found(spark.sparkContext.broadcast(lexicon), names), schema)
+    found = materialise(found.withColumn("__row", F.monotonically_increasing_id()), "matches")
+    kept = [*names, *COUNTS[:2]]
+    none = found.filter("size(fuzzy) = 0").select(*kept, *[F.lit(0).cast("long").alias(c) for c in COUNTS[2:]])
+    each = found.filter("size(fuzzy) > 0").select("__row", *kept, F.explode("fuzzy").alias("f"))
+    each = each.select("__row", *kept, "f.*")
+    matched = materialise(each.select("word").distinct(), "matched")  # written, so that its size is known to the joins
+    known = materialise(clean.join(matched, "word", "left_semi").withColumn("known", F.lit(True)), "known")
+    some = each.join(known, "word", "left").groupBy("__row", *kept)
+    some = some.agg(*[F.sum(F.expr(f"if(known, 0L, {c})")).alias(f"n_{n}") for c, n in (("plain", "fuzzy"), ("quoted", "fuzzy_quoted"))])
+    return none.unionByName(some.drop("__row"))
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score (0 to 1), predicted (1 from 0.5) and the four match counts of every row, from its text alone.
 
     Null texts count as empty; a text without a match gets the score of the constant. Without a model scores are 0.
-    Other columns are not read. An empty table gives no rows.
+    Rows that repeat come out as often, null ids too. Other columns are not read. An empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     if model is None:
         scored = rows.select("doc_id", F.lit(0.0).alias("score"), *[F.lit(0).cast("long").alias(c) for c in COUNTS])
     else:
-        shared = docs.sparkSession.sparkContext.broadcast(model)
-        kind = docs.schema[id_col].dataType.simpleString()
-        columns = ", ".join(f"{c} long" for c in COUNTS)
-        scored = rows.mapInArrow(_scored(shared), f"doc_id {kind}, score double, {columns}")
+        constant, *weights = model.weights.tolist()
+        margin = sum((F.lit(w) * F.log2(1 + F.col(c)) for w, c in zip(weights, COUNTS, strict=True)), F.lit(constant))
+        margin = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), margin))
+        scored = counted(rows, model.lexicon, model.clean).withColumn("score", 1 / (1 + F.exp(-margin)))
     return scored.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *COUNTS)

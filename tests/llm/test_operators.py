@@ -403,3 +403,42 @@ def test_a_loose_group_loses_no_link(spark, monkeypatch):
     assert {r.doc_id: r.class_id for r in found} == {i: find(i) for i in texts}
     rounds = [n for n in written if n.startswith("hubs-")]
     assert len(rounds) <= 5 and len(written) <= 30 + 10 * len(rounds)
+
+
+def test_labels_that_repeat(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "d"), (None, "e"), (1, "f")], "doc_id long, text string")
+    labels = [(1, 1), (1, 1), (2, 0), (2, 1), (3, 0), (4, None), (None, 1), (9, 1)]
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = quality.labelled(docs, labels, "toxic", F.lit(True), "doc_id", "text").collect()
+    assert sorted(map(tuple, got)) == [(0, ""), (1, "a"), (1, "f")]
+
+
+def test_toxicity_counts_each_row(spark):
+    """Fuzzy matches but those of clean words, against counting word by word; awkward rows come out as they went in."""
+    lexicon, safe = toxicity.Lexicon(["idiot", "stupid", "scum", "disgus*"]), {"idiom", "scam", "study"}
+    pick = random.Random(11)
+    words = ["idiot", "idiom", "idi0t", "scam", "scumm", "stupit", "st*pid", "discust", "river", "id!ot", '"', "\n", "idiot@stupid"]
+    texts = [" ".join(pick.choices(words, k=pick.randrange(30))) for _ in range(60)] + [None, "", "scam " * 40_000 + "scvm"]
+    rows = [(None if i % 7 == 0 else i % 9, t, "x", 1) for i, t in enumerate(texts)]
+    table = spark.createDataFrame([*rows, rows[3]], "doc_id long, text string, word string, known int")
+    clean = spark.createDataFrame([(w,) for w in sorted(safe)], "word string")
+    model = toxicity.Model(lexicon, clean, np.array([-3.0, 2.0, 0.5, 1.5, 0.25]))
+    got = sorted((r.doc_id or -1, [r[c] for c in toxicity.COUNTS], round(r.score, 9)) for r in toxicity.score(table, model).collect())
+
+    def wanted(text: str) -> list[int]:
+        out = [0, 0, 0, 0]
+        for m in toxicity.WORD.finditer(text):
+            kind = 0 if lexicon.exact(m[0]) else 2 if m[0] not in safe and m[0] in lexicon.near([m[0]]) else None
+            if kind is not None:
+                out[kind + toxicity.in_quotes(text, m)] += 1
+        for m in toxicity.masked(text):
+            if m[0] in ("st*pid", "id!ot"):
+                out[2 + toxicity.in_quotes(text, m)] += 1
+        return out
+
+    want = []
+    for doc_id, text, *_ in [*rows, rows[3]]:
+        counts = wanted(text or "")
+        margin = -3.0 + np.log2(1 + np.array(counts)) @ [2.0, 0.5, 1.5, 0.25]
+        want.append((doc_id or -1, counts, round(float(1 / (1 + np.exp(-margin))), 9)))
+    assert got == sorted(want)
