@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -442,3 +443,79 @@ def test_toxicity_counts_each_row(spark):
         margin = -3.0 + np.log2(1 + np.array(counts)) @ [2.0, 0.5, 1.5, 0.25]
         want.append((doc_id or -1, counts, round(float(1 / (1 + np.exp(-margin))), 9)))
     assert got == sorted(want)
+
+
+def article_of(markup: str) -> str:
+    return main_text.extracted(f"<nav><a href=/>Home</a></nav>{markup}<footer>end</footer>", main_text.trained())
+
+
+@pytest.mark.parametrize("tag", sorted((main_text.RAW - main_text.RAW_TO_THE_END) | main_text.DROPPED))
+def test_unclosed_elements_lose_no_text(tag):
+    assert article_of(f"<article><p>First words.</p><{tag}><p>A tail of words.</p></article>").startswith("First words.\nA tail of words.")
+    whole = f"<article><p>First <{tag} x='>'>not this</{tag}>words.</p><p>A tail.</p></article>"
+    assert article_of(whole) == "First words.\nA tail."
+
+
+def test_broken_markup():
+    cases = {
+        "<article><p>One.<p>Two.<a href='x": "One.\nTwo.",
+        "<article><p>One.<p title=\"x>Two.<p>Three.": "One.\nTwo.\nThree.",
+        "<article><p>One <!-- two <p>Three.": "One\nThree.",
+        "<article><p>1 < 2 &lt; 3 &amp;amp; <3</p>": "1 < 2 < 3 &amp; <3",
+        "<article><p>a<math><mi>x</mi><mo>=</mo></math> b<wbr>c</p>": "ax= bc",
+        "<article><p><b>One<p>Two</b> more</p>": "One\nTwo more",
+        "<article><a name=x><p>One words here.</a> More.<p>Two.": "One words here. More.\nTwo.",
+        "<article><p>One.</p><script>var a = '<p>no';</article>": "One.",
+        "<article><p>x <b title='a > b'>y</b><span hidden>z</span></p>": "x y",
+        "<article><button>b<p>The tail</p></article>": "b\nThe tail",
+        "<article><p>a<button>x<button>y</button>b</p><svg><path/><p>c": "ab\nc",
+    }
+    for markup, text in cases.items():
+        assert main_text.extracted(markup, main_text.trained()) == text, markup
+
+
+def test_names_that_only_hint(spark):
+    """Text in a box whose name might be that of a study's chapter stays; lists of links and boxes known by name go."""
+    body = "Some earlier methods looked at every pair of texts and took long to end on large tables. " * 2
+    links = "".join(f"<li><a href=/{i}>Linked page {i}</a></li>" for i in range(5))
+    for name in ("related-work", "search-results-study", "legal-history", "has-sidebar", "no-comments wide"):
+        got = article_of(f"<article><h1>A title</h1><div class='{name}'><h2>Before</h2><p>{body}</p><p>So it was.</p></div></article>")
+        assert got == f"A title\nBefore\n{body.strip()}\nSo it was."
+    for name in ("comments", "post-comments", "sidebar-left", "ad-slot", "cookie-notice", "related-posts", "newsletter-box", "main-nav"):
+        assert article_of(f"<article><h1>A title</h1><p>{body}</p><div class='{name}'><p>{body}</p></div></article>") == f"A title\n{body.strip()}"
+    assert article_of(f"<article><p>{body}</p><ul>{links}</ul><p>{body}</p></article>") == f"{body.strip()}\n{body.strip()}"
+    assert article_of(f"<div>{links}</div><div><p>{body}</p></div>") == body.strip()
+
+
+def test_the_tree_asks_for_words_and_links():
+    def splits(tree, at=()):
+        if tree.column >= 0:
+            yield from [(*at, main_text.FEATURES[tree.column])]
+            yield from splits(tree.left, (*at, main_text.FEATURES[tree.column]))
+            yield from splits(tree.right, (*at, main_text.FEATURES[tree.column]))
+
+    paths = list(splits(main_text.trained()))
+    assert {"words", "links", "linked_run", "links_after"} <= {p[-1] for p in paths}
+    assert any("inside" in p and p[-1] == "words" for p in paths) and any("inside" in p and p[-1] == "links" for p in paths)
+    x = np.array([line.split() for line in main_text.LABELLED.splitlines()], float)
+    assert (main_text.trained()(x[:, :-1]) == x[:, -1]).all()
+
+
+def test_long_hostile_pages_take_linear_time():
+    units = ["<a '", "<div>x", "<p ", "<span>", "</b>", "<a x='", "<!--", "<ul><li><div>", "<button>x", "<title>", "<svg>", "<b><div>", "<!a", "&", '<a x="y']
+    for unit in units:
+        begun = time.monotonic()
+        main_text.text_blocks(unit * (1_000_000 // len(unit)))
+        assert time.monotonic() - begun < 30, unit
+    long = "word " * 500_000
+    assert main_text.extracted(f"<article><p>{long}</p></article>", main_text.trained()) == long.strip()
+
+
+def test_main_text_of_awkward_tables(spark):
+    schema = "page_id long, url string, html string, text string, __html string"
+    rows = [(None, None, "<article><p>One two.", "x", "y"), (1, "u", None, None, None), (1, "u", "<article><p>One two.", "x", "y")]
+    table = spark.createDataFrame([*rows, rows[1]], schema)
+    got = main_text.main_text(table, ("page_id", "url", "text"))
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    assert sorted((r.page_id or 0, r.text) for r in got.collect()) == [(0, "One two."), (1, ""), (1, ""), (1, "One two.")]
+    assert main_text.main_text(table.limit(0)).count() == 0
