@@ -9,6 +9,7 @@ matter, so passages that were moved about still count.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -98,19 +99,24 @@ def tiles(a: np.ndarray, b: np.ndarray, least: int) -> list[tuple[int, int, int]
     size = max(least, min(len(a), len(b)))
     while size >= least:
         found = _common(a, b, free_a, free_b, size)
-        longest = found[0][2] if found else 0
+        longest = max((n for _, _, n in found), default=0)
         if longest > 2 * size:
             size = longest
             continue
-        again = False
-        for i, j, n in found:
-            if free_a[i : i + n].all() and free_b[j : j + n].all():
-                free_a[i : i + n] = free_b[j : j + n] = False
-                out.append((i, j, n))
-            else:
-                again = True  # a part of it may still be free
-        if again and any(n for n in found) and _common(a, b, free_a, free_b, size):
-            continue
+        # what is left of a partly taken match waits in line with the others; none of this size stays free
+        line = [(-n, i, j) for i, j, n in found]
+        heapify(line)
+        while line:
+            n, i, j = heappop(line)
+            free = free_a[i : i - n] & free_b[j : j - n]
+            if free.all():
+                free_a[i : i - n] = free_b[j : j - n] = False
+                out.append((i, j, -n))
+                continue
+            edges = np.flatnonzero(np.diff(np.concatenate([[0], free.view(np.int8), [0]])))
+            for begin, end in edges.reshape(-1, 2).tolist():
+                if end - begin >= size:
+                    heappush(line, (begin - end, i + begin, j + begin))
         if size == least:
             break
         size = max(least, size // 2)
@@ -118,7 +124,7 @@ def tiles(a: np.ndarray, b: np.ndarray, least: int) -> list[tuple[int, int, int]
 
 
 def _common(a, b, free_a, free_b, size: int) -> list[tuple[int, int, int]]:
-    """Maximal free matches of at least ``size`` tokens, longest first, found by rolling hashes of that length."""
+    """Maximal free matches of at least ``size`` tokens, found by rolling hashes of that length."""
     at_a, at_b = (_free_windows(free, size) for free in (free_a, free_b))
     if not len(at_a) or not len(at_b):
         return []
@@ -137,7 +143,7 @@ def _common(a, b, free_a, free_b, size: int) -> list[tuple[int, int, int]]:
                 n += 1
             if (a[i : i + size] == b[j : j + size]).all():
                 out.append((i, j, n))
-    return sorted(out, key=lambda m: (-m[2], m[0], m[1]))
+    return out
 
 
 def _free_windows(free: np.ndarray, size: int) -> np.ndarray:

@@ -519,3 +519,28 @@ def test_main_text_of_awkward_tables(spark):
     assert got.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted((r.page_id or 0, r.text) for r in got.collect()) == [(0, "One two."), (1, ""), (1, ""), (1, "One two.")]
     assert main_text.main_text(table.limit(0)).count() == 0
+
+
+def test_tiles_mark_the_longest_free_match_first():
+    """Each tile is as long as the longest match that brute force finds free; at the end none is left."""
+
+    def longest(a: list[int], b: list[int], used_a: set[int], used_b: set[int]) -> int:
+        best, before = 0, [0] * (len(b) + 1)
+        for i, x in enumerate(a):
+            here = [0] * (len(b) + 1)
+            for j, y in enumerate(b):
+                if x == y and i not in used_a and j not in used_b:
+                    here[j + 1] = before[j] + 1
+                    best = max(best, here[j + 1])
+            before = here
+        return best
+
+    rng = np.random.default_rng(17)
+    for k in range(150):
+        a, b = (rng.integers(1, 3 + k % 3, n).astype(np.uint64) for n in (50, 70))
+        used_a, used_b = set(), set()
+        for i, j, n in decontaminate.tiles(a, b, 5):
+            assert n == longest(a.tolist(), b.tolist(), used_a, used_b)
+            used_a |= set(range(i, i + n))
+            used_b |= set(range(j, j + n))
+        assert longest(a.tolist(), b.tolist(), used_a, used_b) < 5
