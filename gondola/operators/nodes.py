@@ -38,6 +38,10 @@ JSONLD_TYPE = "application/ld+json"
 # a number of so many digits is more than Python reads; eight say as much
 LONG_REFERENCE = re.compile(r"&#(\d{4000,})")
 
+#: A file in parts: ``part_no`` orders them, ``outside`` tells that no element goes on across the end
+PART = ["path", "part_no", "html", "n_bytes", "outside"]
+PART_SCHEMA = "path string, part_no long, html string, n_bytes long, outside boolean"
+
 # output batches are cut at this many nodes, to bound the memory of a Python worker
 NODES_PER_BATCH = 100_000
 
@@ -77,6 +81,10 @@ def plain_json(text: str) -> str:
     return json.dumps(value, ensure_ascii=False) if loose else text
 
 
+def _readable(html: str) -> str:
+    return LONG_REFERENCE.sub(lambda m: "&#" + (m[1].lstrip("0")[:8] or "0"), html)
+
+
 class _NodeBuffer(HTMLParser):
     """Collects the nodes of many pages column by column.
 
@@ -109,7 +117,7 @@ class _NodeBuffer(HTMLParser):
         self._open(DOCUMENT, [])
         self.error: str | None = None
         self.reset()
-        self.feed(LONG_REFERENCE.sub(lambda m: "&#" + (m[1].lstrip("0")[:8] or "0"), html or ""))
+        self.feed(_readable(html or ""))
         self.close()
         self._end_text()
         end = len(self.tag) - self.base - 1
@@ -163,7 +171,7 @@ class _NodeBuffer(HTMLParser):
 
     def parse_html_declaration(self, i: int) -> int:
         try:
-            return super().parse_html_declaration(i)
+            return HTMLParser.parse_html_declaration(self, i)
         except AssertionError as e:  # such as <![foo[x]]>
             self.error = self.error or f"{type(e).__name__}: {e}"
         ends = [k for k in (self.rawdata.find(">", i) + 1, self.rawdata.find("<", i + 1)) if k > 0]
@@ -230,6 +238,82 @@ def _pages_to_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 buffer = _NodeBuffer()
 
 
+class _Boundary(HTMLParser):
+    """Reads markup by the rules of ``_NodeBuffer``, and knows no more than which tags are open and whether a text is."""
+
+    error = None
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.stack: list[str] = []
+        self.open_tags: Counter[str] = Counter()
+        self.in_text = False
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.in_text = False
+        if tag not in VOID_TAGS:
+            self.stack.append(tag)
+            self.open_tags[tag] += 1
+
+    def handle_endtag(self, tag: str) -> None:
+        self.in_text = False
+        closed = None
+        while self.open_tags[tag] and closed != tag:
+            closed = self.stack.pop()
+            self.open_tags[closed] -= 1
+
+    def handle_comment(self, data: str) -> None:
+        self.in_text = False
+
+    handle_decl = handle_pi = unknown_decl = handle_comment
+
+    def handle_data(self, data: str) -> None:
+        self.in_text = True
+
+    parse_html_declaration, updatepos = _NodeBuffer.parse_html_declaration, _NodeBuffer.updatepos
+
+
+def ends_outside(html: str) -> bool:
+    """Whether markup that begins outside of all elements ends so too, behind a whole tag. What follows is then parsed as if
+    it stood alone: no element, text, comment or script goes on across the end.
+    """
+    reader = _Boundary()
+    reader.feed(_readable(html))
+    return not (reader.stack or reader.rawdata or reader.cdata_elem or reader.in_text)
+
+
+def parts_of(end: str, least: int):
+    """Joins the pieces of each block, in order and each with its ``end``, to parts of at least ``least`` bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def part() -> pa.RecordBatch:
+            html = "".join(held)
+            row = (path, block + n, html, size, ends_outside(html))
+            return pa.RecordBatch.from_arrays([pa.array([v]) for v in row], names=PART)
+
+        path, block, n, size, held = None, None, 0, 0, []
+        for batch in batches:
+            for of, at, html, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and (at != block or of != path or size >= least):
+                    yield part()
+                    n, size, held = n + 1, 0, []
+                if at != block or of != path:
+                    path, block, n = of, at, 0
+                held.append(html + end)
+                size += length + len(end)
+        if held:
+            yield part()
+
+    return run
+
+
+def outside_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    at = PART.index("html")
+    for batch in batches:
+        ends = pa.array([ends_outside(html.as_py()) for html in batch.column(at)], pa.bool_())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ends], names=PART)
+
+
 def page_nodes(pages: DataFrame, *keep: str, html: str = "html") -> DataFrame:
     """One row per page with its ``nodes`` array, and ``parse_error`` where markup was refused and read as text.
 

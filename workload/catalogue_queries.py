@@ -12,6 +12,7 @@ from gondola.operators.listings import (
     category_pages,
     json_window_listing,
     pod_listing,
+    pod_part_listing,
     summary_listing,
 )
 from gondola.operators.nodes import page_nodes
@@ -86,7 +87,7 @@ SELECT CAST(row_number() OVER (ORDER BY page, item_no) - 1 AS INTEGER) AS item_n
 def saved_file(spark, sf_dir):
     """One file with the whole catalogue"""
     page = read_saved_page(spark, render.saved_file(spark, sf_dir))
-    return pod_listing(page_nodes(page, "file_name"), ["file_name"], BASE(SHOP)).drop("file_name")
+    return pod_part_listing(page_nodes(page, "file_name", "part_no"), ["file_name"], BASE(SHOP)).drop("file_name")
 
 
 @query(f"WITH {SLOTS}, {POD} SELECT page AS page_id, item_no, {LISTING} FROM pods")
