@@ -347,7 +347,7 @@ def next_page_links(spark, sf_dir):
 
 def walk_starts(pages, links):
     """Pages that no other page links to."""
-    linked = links.select(F.col("next_url").alias("url"))
+    linked = links.select(F.col("next_url").alias("url")).hint("merge")  # as many rows as pages: not to be broadcast
     return pages.select("url", F.col("page_id").alias("start_no")).join(linked, "url", "left_anti")
 
 
