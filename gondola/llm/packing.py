@@ -12,7 +12,7 @@ import os
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -34,6 +34,17 @@ BIN = f"sequence_id long, fill long, done boolean, pieces array<struct<{PIECE.re
 SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,!?;:*#%$&|()]*)")
 
 
+class Known(dict):
+    """Ids of chunks, looked for by ``find`` when first asked for."""
+
+    def __init__(self, find: Callable[[str], bytes]) -> None:
+        self.find = find
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self[chunk] = self.find(chunk)
+        return ids
+
+
 class ChunkTokens:
     """Ids of whole texts, from the ids of their space-separated chunks, as little-endian bytes.
 
@@ -49,9 +60,8 @@ class ChunkTokens:
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
+        self.known, self.older = Known(self.find), {}
+        self.words, self.marks = Known(self.word), Known(self.encoded)
         byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
         letters = (chr(c) for c in range(0x80, 0x250))
         self.bytes_of = {ord(c): byte_level.pre_tokenize_str(c)[0][0] for c in letters if SIMPLE.fullmatch(c)}
@@ -64,35 +74,33 @@ class ChunkTokens:
         text = text if text.isascii() else text.translate(self.bytes_of)
         return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
 
-    def learn(self, chunks: set[str]) -> None:
-        words: dict[str, bytes] = {}
-        for c in chunks:
-            ids = self.older.get(c)
-            if ids is None:
-                m = SIMPLE.fullmatch(c)
-                if m is None:
-                    ids = self.encoded(c)
-                else:
-                    word, mark = m[1].lower(), m[2]
-                    ids = words.get(word) or self.known.get(word) or self.older.get(word)
-                    if ids is None:
-                        ids = words[word] = self.word(word)
-                    if mark:
-                        if mark not in self.marks:
-                            self.marks[mark] = self.encoded(mark)
-                        ids += self.marks[mark]
-            self.known[c] = ids
+    def find(self, chunk: str) -> bytes:
+        """Of a chunk that is not known: from the older ones, or by its word and the marks behind it."""
+        ids = self.older.get(chunk)
+        if ids is not None:
+            return ids
+        if chunk.isascii() and chunk.isalpha():
+            word, mark = chunk.lower(), ""
+        else:
+            m = SIMPLE.fullmatch(chunk)
+            if m is None:
+                return self.encoded(chunk)
+            word, mark = m[1].lower(), m[2]
+        if word == chunk:
+            return self.word(word)
+        # written otherwise than it is read: the plain word may be known, and may be written in other ways still
+        ids = self.known.get(word) or self.older.get(word) or self.words[word]
+        return ids + self.marks[mark] if mark else ids
 
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        parts = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = set().union(*parts).difference(self.known)
-        if len(self.known) + len(new) > self.most:
-            self.known, self.older, self.marks = {}, self.known, {}
-            new = set().union(*parts)
-        if new:
-            self.learn(new)
-        for p in parts:
-            yield np.frombuffer(b"".join(map(self.known.__getitem__, p)), "<u4")
+        if len(self.known) + len(self.words) > self.most:
+            self.known, self.older = Known(self.find), self.known
+            self.words.clear()
+            self.marks.clear()
+        ids_of = self.known.__getitem__
+        for t in texts:
+            parts = t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            yield np.frombuffer(b"".join(map(ids_of, parts)), "<u4")
 
 
 @lru_cache(1)
