@@ -293,25 +293,50 @@ def _hadoop(spark: SparkSession, path: str):
     return at(path).getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
+def write_files(files: DataFrame, path: str) -> None:
+    """Each row's ``body`` as a file of its own, ``name`` below ``path``. Tasks write them, so the driver handles none; ``path``
+    is a folder that executors share, in a store that Arrow knows.
+    """
+
+    def write(batches):
+        from urllib.parse import urlsplit
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        local = urlsplit(path).scheme in ("", "file")
+        if local:
+            store, top = fs.LocalFileSystem(), path.removeprefix("file://").removeprefix("file:")
+        else:
+            store, top = fs.FileSystem.from_uri(path.replace("s3a:", "s3:", 1))
+        made = set()
+        for batch in batches:
+            for name, body in zip(batch.column("name").to_pylist(), batch.column("body").to_pylist(), strict=True):
+                at = f"{top}/{name}"
+                folder = at.rpartition("/")[0]
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with store.open_output_stream(at) as out:
+                    out.write(body)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    files.select("name", F.col("body").cast("binary").alias("body")).mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()
+
+
 def saved_folder(spark: SparkSession, sf_dir: str) -> str:
     """A folder with a file for each pod page: ``.html``, every fourth ``.HTM`` in a folder of its own, every ninth with a name
     that is no page's and an empty page beside it. Every fifth begins with bytes that are no UTF-8.
     """
     page = F.col("page_id")
-    name = fmt("p~~", "page_id", F.when(page % 9 == 4, ".htmlx").when(page % 4 == 0, ".HTM").otherwise(".html"))
+    folder = F.when(page % 4 == 0, "old").otherwise("new")
+    name = fmt("~/p~~", folder, "page_id", F.when(page % 9 == 4, ".htmlx").when(page % 4 == 0, ".HTM").otherwise(".html"))
     body = F.when(page % 5 == 2, F.concat(F.unhex(F.lit("FFFE")), F.encode("html", "UTF-8"))).otherwise(F.encode("html", "UTF-8"))
-    files = pod_pages(spark, sf_dir).select(body.cast("string"), F.when(page % 4 == 0, "old").otherwise("new").alias("folder"), name.alias("name"))
-    parts, path = fresh_dir(spark, "files"), fresh_dir(spark, "saved")
-    files.write.partitionBy("folder", "name").text(parts)
-    fs, at = _hadoop(spark, path)
-    for folder in ("old", "new"):
-        fs.mkdirs(at(f"{path}/{folder}"))
-    for found in fs.globStatus(at(f"{parts}/folder=*/name=*/part-*")):
-        source = found.getPath()
-        name = source.getParent().getName().removeprefix("name=")
-        fs.rename(source, at(f"{path}/{source.getParent().getParent().getName().removeprefix('folder=')}/{name}"))
-        if name.endswith(".htmlx"):
-            fs.create(at(f"{path}/new/{name.replace('p', 'e', 1).removesuffix('x')}")).close()
+    file = F.struct(name.alias("name"), body.alias("body"))
+    empty = F.struct(fmt("new/e~.html", "page_id").alias("name"), F.lit(b"").alias("body"))
+    files = F.when(page % 9 == 4, F.array(file, empty)).otherwise(F.array(file))
+    path = fresh_dir(spark, "saved")
+    write_files(pod_pages(spark, sf_dir).select(F.inline(files)), path)
     return path
 
 
