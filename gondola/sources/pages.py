@@ -116,8 +116,9 @@ def saved_discards(spark: SparkSession, path: str) -> DataFrame:
 
     The folder is listed without opening files; what reading them does not return could not be read.
     """
-    listed = fewer_tasks(_saved_files(spark, path).select(_path()))
-    read = fewer_tasks(_saved_files(spark, path).select(_path(), F.is_valid_utf8(F.col("content").cast("string")).alias("valid")))
+    files = _saved_files(spark, path)  # listed once
+    listed = fewer_tasks(files.select(_path()))
+    read = fewer_tasks(files.select(_path(), F.is_valid_utf8(F.col("content").cast("string")).alias("valid")))
     reason = F.when(F.col("valid").isNull(), "unreadable").otherwise("bad_bytes").alias("reason")
     lost = listed.join(read, "path", "left").filter("valid IS NULL OR NOT valid")
     return lost.select("path", last_segment("path").alias("file_name"), reason)

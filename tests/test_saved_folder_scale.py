@@ -35,3 +35,12 @@ def test_many_files_are_read_in_few_tasks(spark, tmp_path):
         assert sorted(r.html for r in rows.collect() if r.html) == sorted(f"<p>{i}</p>" for i in range(90) if i % 3)
     finally:
         spark.conf.set("spark.sql.files.openCostInBytes", old)
+
+
+def test_discards_list_the_folder_once(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.html").write_bytes(b"\xff")
+    (tmp_path / "b.html").write_text("b")
+    listed = []
+    files = P._saved_files
+    monkeypatch.setattr(P, "_saved_files", lambda *a: listed.append(a) or files(*a))
+    assert [r.file_name for r in P.saved_discards(spark, str(tmp_path)).collect()] == ["a.html"] and len(listed) == 1
